@@ -5,7 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .chat import format_chats
+from .mixing import schedule
 from .quality import quality_rules
 from .shared import table
 from .token_store import token_store
@@ -16,6 +19,16 @@ def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store(table(spark, sf_dir, "documents"))
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = schedule(table(spark, sf_dir, "documents"))
+    first = F.round(F.array_min("positions"), 6).alias("first_position")
+    return s.select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken", first)
+
+
+def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return format_chats(table(spark, sf_dir, "conversations"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
@@ -26,6 +39,8 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_store": op2_token_store,
+    "op5_mixing": op5_mixing,
+    "op7_chat_formatting": op7_chat_formatting,
     "op9_quality_rules": op9_quality_rules,
     "op10_warc": op10_warc,
 }
@@ -93,4 +108,38 @@ SELECT page_id, payload_bytes::BIGINT AS payload_bytes,
 FROM k
 """
 
-ORACLES: dict[str, str] = {"op9_quality_rules": _quality_sql(), "op10_warc": _WARC_SQL}
+_MIXING_SQL = """
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size, md5(coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
+o AS (SELECT *, (row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1) % 3 AS slot, 3.0::DOUBLE * source_size AS cap FROM s),
+w AS (SELECT *, [5, 2, 1][slot + 1]::DOUBLE AS weight, [-0.5, 0, 0.5][slot + 1]::DOUBLE AS slope, cap / [5, 2, 1][slot + 1] AS full_at FROM o),
+t AS (
+  SELECT *, (sum(source_size) OVER ()::DOUBLE - coalesce(sum(cap) OVER f, 0)) / (sum(weight) OVER () - coalesce(sum(weight) OVER f, 0)) AS try
+  FROM w WINDOW f AS (ORDER BY full_at, encode(source) NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+l AS (SELECT max(try) FILTER (WHERE try <= full_at) AS level FROM t),
+p AS (SELECT t.*, least(coalesce(level, full_at) * weight, cap) AS target FROM t, l),
+q AS (
+  SELECT d.*, p.source_size, p.target, p.slope, coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY h, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS base
+  FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source),
+c AS (
+  SELECT *, list_filter([base::DOUBLE + size / 2.0, (base + source_size)::DOUBLE + size / 2.0, (base + 2 * source_size)::DOUBLE + size / 2.0], lambda m: size > 0 AND m <= target) AS ms FROM q),
+e AS (SELECT *, list_min(ms) / greatest(target, 1e-12) AS x FROM c)
+SELECT doc_id, size, source_size, round(target, 6) AS target, (len(ms) * size)::BIGINT AS taken,
+  round(CASE WHEN slope = 0 THEN x ELSE 2 * x / greatest((1 - slope) + sqrt(greatest((1 - slope) * (1 - slope) + 4 * slope * x, 0)), 1e-12) END, 6) AS first_position
+FROM e
+"""
+
+_CHAT_SQL = """
+WITH t AS (
+  SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS LAST, role NULLS FIRST, text NULLS FIRST) AS pos FROM conversations),
+k AS (SELECT *, coalesce('=' || role, '-') || chr(31) || coalesce('=' || text, '-') || chr(30) AS mark FROM t),
+p AS (SELECT conv_id, pos, string_agg(mark, '') OVER (PARTITION BY conv_id ORDER BY pos) AS prefix, count(*) OVER (PARTITION BY conv_id) AS n FROM k),
+whole AS (SELECT min(conv_id) AS conv_id, n, prefix, count(*) AS n_copies FROM p WHERE pos = n GROUP BY n, prefix),
+longer AS (SELECT DISTINCT pos, prefix FROM p WHERE pos < n),
+kept AS (SELECT * FROM whole w WHERE NOT EXISTS (SELECT 1 FROM longer l WHERE l.pos = w.n AND l.prefix = w.prefix))
+SELECT k.conv_id, (k.pos - 1) // 64 AS part, max(kept.n)::BIGINT AS n_turns, max(kept.n_copies)::BIGINT AS n_copies, min(k.pos) AS first_turn, max(k.pos) AS last_turn,
+  string_agg('<|im_start|>' || coalesce(k.role, 'unknown') || chr(10) || coalesce(k.text, '') || '<|im_end|>' || chr(10), '' ORDER BY k.pos) AS text
+FROM k JOIN kept ON k.conv_id IS NOT DISTINCT FROM kept.conv_id GROUP BY k.conv_id, part
+"""
+
+ORACLES: dict[str, str] = {"op5_mixing": _MIXING_SQL, "op7_chat_formatting": _CHAT_SQL, "op9_quality_rules": _quality_sql(), "op10_warc": _WARC_SQL}
