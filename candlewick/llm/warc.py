@@ -59,7 +59,7 @@ def build_records(pages: DataFrame, min_revisit_bytes: int = 0) -> DataFrame:
         "page_id", "url", F.sha2("payload", 256).alias("sha256"), F.octet_length("payload").cast("long").alias("bytes"), base32_sha1(F.col("payload")).alias("digest")
     )
     keepers = p.groupBy(F.col("sha256").alias("k_sha")).agg(F.max("page_id").alias("keeper"))
-    r = p.join(keepers, F.col("sha256") == F.col("k_sha"), "left").drop("k_sha")
+    r = p.join(keepers.hint("merge"), F.col("sha256") == F.col("k_sha"), "left").drop("k_sha")
     revisit = (F.col("bytes") >= min_revisit_bytes) & ~F.col("page_id").eqNullSafe(F.col("keeper"))
     r = r.withColumn("record_type", F.when(revisit, "revisit").otherwise("response"))
     r = r.withColumn("refers_to", F.when(revisit, F.col("keeper")))
@@ -93,17 +93,22 @@ def build_records(pages: DataFrame, min_revisit_bytes: int = 0) -> DataFrame:
     return r.select("page_id", "sha256", "record_type", warc.cast("binary").alias("warc_header"), http.cast("binary").alias("http_header"))
 
 
+def _owner_key(sha256: Column, page_id: Column) -> Column:
+    return F.concat_ws(":", sha256, F.coalesce(page_id.cast("string"), F.lit("-")))
+
+
 def write_archive(pages: DataFrame, path: str, min_revisit_bytes: int = 0) -> None:
     """Write the two tables of an archive of ``pages`` (page_id, url, html) below ``path``."""
     spark = pages.sparkSession
     build_records(pages, min_revisit_bytes).write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/headers")
     owners = spark.read.parquet(f"{path}/headers").where("record_type = 'response'").groupBy("sha256").agg(F.max("page_id").alias("owner"))
+    owners = owners.select(_owner_key(F.col("sha256"), F.col("owner")).alias("o_key"))
     full = pages.select(F.col("page_id").cast("long").alias("page_id"), F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary").alias("payload"))
-    full = full.withColumn("p_sha", F.sha2("payload", 256))
-    # keyed by page_id too: the copies of one payload spread over the partitions
-    owned = full.join(owners, (full.page_id.eqNullSafe(owners.owner)) & (full.p_sha == owners.sha256), "left_semi")
-    # only rows that repeat a page_id are left to merge
-    stored = owned.groupBy(F.col("p_sha").alias("sha256")).agg(F.first("payload").alias("payload"))
+    full = full.withColumn("sha256", F.sha2("payload", 256)).select(_owner_key(F.col("sha256"), F.col("page_id")).alias("key"), "sha256", "payload")
+    # keyed by page_id too: the copies of one payload spread over the partitions, and rows that
+    # repeat a page_id merge there, so payloads are shuffled once; merge joins at every size
+    owned = full.join(owners.hint("merge"), F.col("key") == F.col("o_key"), "left_semi")
+    stored = owned.groupBy("key").agg(F.first("sha256").alias("sha256"), F.first("payload").alias("payload")).drop("key")
     stored.write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/payloads")
 
 
@@ -150,7 +155,7 @@ def archive_digests(spark: SparkSession, path: str) -> DataFrame:
     facts = read_payloads(spark, path).select("sha256", F.octet_length("payload").cast("long").alias("payload_bytes"), base32_sha1(F.col("payload")).alias("measured"))
     h = read_headers(spark, path).select("page_id", "record_type", "payload_digest", "refers_to", "sha256")
     same = F.col("measured") == F.col("payload_digest")
-    return h.join(facts, "sha256", "left").select(
+    return h.join(facts.hint("merge"), "sha256", "left").select(
         "page_id",
         "payload_bytes",
         F.when(same, F.col("measured")).otherwise(F.raise_error(F.lit("record digest does not match its payload"))).alias("payload_digest"),
