@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .chat import format_chats
+from .html_extract import extract_main_text
+from .langid import identify
 from .mixing import schedule
 from .quality import quality_rules
 from .shared import table
@@ -15,6 +17,10 @@ from .token_store import token_store
 from .warc import warc_roundtrip
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
 def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store(table(spark, sf_dir, "documents"))
 
@@ -25,6 +31,10 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken", first)
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
+
+
 def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return format_chats(table(spark, sf_dir, "conversations"))
 
@@ -38,8 +48,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html_extraction": op1_html_extraction,
     "op2_token_store": op2_token_store,
     "op5_mixing": op5_mixing,
+    "op6_language_id": op6_language_id,
     "op7_chat_formatting": op7_chat_formatting,
     "op9_quality_rules": op9_quality_rules,
     "op10_warc": op10_warc,
