@@ -14,6 +14,7 @@ from .mixing import schedule
 from .quality import quality_rules
 from .shared import table
 from .token_store import token_store
+from .toxicity import score_toxicity
 from .warc import warc_roundtrip
 
 
@@ -25,6 +26,10 @@ def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store(table(spark, sf_dir, "documents"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = schedule(table(spark, sf_dir, "documents"))
     first = F.round(F.array_min("positions"), 6).alias("first_position")
@@ -50,6 +55,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": op1_html_extraction,
     "op2_token_store": op2_token_store,
+    "op3_toxicity": op3_toxicity,
     "op5_mixing": op5_mixing,
     "op6_language_id": op6_language_id,
     "op7_chat_formatting": op7_chat_formatting,
