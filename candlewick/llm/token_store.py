@@ -21,6 +21,7 @@ an unspecified order among themselves; an empty table gives an empty store; extr
 from __future__ import annotations
 
 import hashlib
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -43,8 +44,14 @@ DICT_BYTES = 64 << 10
 LEVEL = 3
 BLOCK_BYTES = 1 << 20
 #: White-space-separated pieces that are remembered per Python worker, and the longest of them.
-MEMO_PIECES = 1_200_000
+MEMO_PIECES = 1_000_000
 MEMO_PIECE_BYTES = 48
+#: Bytes of characters up to U+00FF, and a closing mark between a letter and white space.
+_NARROW = bytes(range(0xC4))
+_CLOSING = re.compile(rb"(?:(?<=[a-z])|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]))([.,;:!?])(?=[\x09-\x0d\x20]|\Z)")
+
+#: Letters (here all of 80-FF too), white space, closing marks and the rest.
+_KINDS = bytes(97 if chr(c).isalpha() and c < 128 or c >= 0x80 else 32 if c == 32 or 9 <= c <= 13 else 46 if chr(c) in ".,;:!?" else 120 for c in range(256))
 
 BLOCK_SCHEMA = "shard int, block int, dict_hash string, first_id bigint, last_id bigint, doc_ids array<bigint>, offsets array<bigint>, sizes array<int>, n_tokens array<bigint>, starts array<bigint>, data binary"
 
@@ -57,37 +64,75 @@ def tokenizer_path(name: str = TOKENIZER_FILE) -> str:
 
 class Encoder:
     """Texts to little-endian ids. This vocabulary's normalizer and splitter never join or read
-    across white space, so pieces between ASCII white space encode alone to the same ids; frequent
-    pieces are remembered as the bytes of their ids."""
+    across white space, so pieces between ASCII white space encode alone to the same ids; pieces
+    are remembered as the bytes of their ids. In texts without characters beyond U+00FF, where no
+    mark can combine with a letter, ASCII is lower-cased and a closing mark after a letter split off
+    first, as the normalizer and the splitter would. Letters-only pieces, each of which ends with
+    one word-end id, are encoded many at a time."""
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        vocabulary = self.tokenizer.get_vocab()
+        self.width = 2 if max(vocabulary.values()) < 1 << 16 else 4
         self.dtype = np.dtype("<u2" if self.width == 2 else "<u4")
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.memo: dict[bytes, bytes] = {}
 
-    def _plain(self, pieces: list[bytes]) -> list[bytes]:
-        got = self.tokenizer.encode_batch_fast([p.decode("utf-8", "replace") for p in pieces], add_special_tokens=False)
+    def _each(self, pieces: list[str]) -> list[bytes]:
+        got = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
         return [np.array(e.ids, dtype=self.dtype).tobytes() for e in got]
 
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of letters-only pieces: each has at least one word end, so if there are as many as
+        pieces, each has exactly one, its last id."""
+        out: list[bytes] = []
+        for at in range(0, len(words), 2000):
+            part = words[at : at + 2000]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, dtype=self.dtype)
+            stops = (np.flatnonzero(self.ends[ids]) + 1) * self.width
+            if len(stops) != len(part):
+                out += self._each(part)
+                continue
+            raw, stops = ids.tobytes(), stops.tolist()
+            out += [raw[a:b] for a, b in zip([0, *stops], stops, strict=False)]
+        return out
+
+    def _learn(self, pieces: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of pieces that are not remembered."""
+        texts = [p.decode("utf-8", "replace") for p in pieces]
+        alone = [s.isalpha() for s in texts]
+        out = dict(zip([p for p, a in zip(pieces, alone, strict=True) if a], self._words([s for s, a in zip(texts, alone, strict=True) if a]), strict=True))
+        out.update(zip([p for p, a in zip(pieces, alone, strict=True) if not a], self._each([s for s, a in zip(texts, alone, strict=True) if not a]), strict=True))
+        return out
+
+    @staticmethod
+    def _pieces(text: bytes) -> list[bytes]:
+        if text.translate(None, _NARROW):
+            return text.split()
+        kinds = text.translate(_KINDS)
+        if b".." not in kinds and b"x." not in kinds and b"\xc2" not in text and b"\xc3\x97" not in text and b"\xc3\xb7" not in text:
+            # every mark follows a letter or white space: plain replacement splits right
+            return text.lower().replace(b". ", b" . ").replace(b", ", b" , ").replace(b".\n", b" .\n").split()
+        return _CLOSING.sub(rb" \1", text.lower()).split()
+
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each whole text, without an end id."""
-        split = [t.split() for t in texts]
+        if len(self.memo) > MEMO_PIECES:
+            self.memo.clear()
         memo = self.memo
-        unknown = {p for pieces in split for p in pieces}.difference(memo)
-        long = {p for p in unknown if len(p) > MEMO_PIECE_BYTES}
-        short = list(unknown - long)
-        if len(memo) + len(short) > MEMO_PIECES:
-            memo.clear()
-            short = list({p for pieces in split for p in pieces} - long)
-        memo.update(zip(short, self._plain(short), strict=True))
-        if not long:
-            return [b"".join(map(memo.__getitem__, pieces)) for pieces in split]
-        extra = list(long)
-        both = dict(zip(extra, self._plain(extra), strict=True))
-        return [b"".join([both[p] if p in both else memo[p] for p in pieces]) for pieces in split]
+        split = [self._pieces(t) for t in texts]
+        found = [list(map(memo.get, pieces)) for pieces in split]
+        gaps = [[i for i, x in enumerate(got) if x is None] for got in found]
+        unknown = {pieces[i] for pieces, gap in zip(split, gaps, strict=True) for i in gap}
+        learned = self._learn(list(unknown))
+        memo.update((p, x) for p, x in learned.items() if len(p) <= MEMO_PIECE_BYTES)
+        for pieces, got, gap in zip(split, found, gaps, strict=True):
+            for i in gap:
+                got[i] = learned[pieces[i]]
+        return [b"".join(got) for got in found]
 
 
 @lru_cache(maxsize=2)
