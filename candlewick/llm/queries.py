@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .chat import format_chats
+from .decontam import find_contamination
 from .html_extract import extract_main_text
 from .langid import identify
 from .mixing import schedule
+from .neardup import near_duplicates
 from .quality import quality_rules
 from .shared import table
 from .token_store import token_store
@@ -30,6 +32,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = schedule(table(spark, sf_dir, "documents"))
     first = F.round(F.array_min("positions"), 6).alias("first_position")
@@ -44,6 +50,10 @@ def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return format_chats(table(spark, sf_dir, "conversations"))
 
 
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
@@ -56,9 +66,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": op1_html_extraction,
     "op2_token_store": op2_token_store,
     "op3_toxicity": op3_toxicity,
+    "op4_decontamination": op4_decontamination,
     "op5_mixing": op5_mixing,
     "op6_language_id": op6_language_id,
     "op7_chat_formatting": op7_chat_formatting,
+    "op8_near_duplicates": op8_near_duplicates,
     "op9_quality_rules": op9_quality_rules,
     "op10_warc": op10_warc,
 }
