@@ -19,7 +19,7 @@ the held-out fold, cut to LEARN_CHARS characters.
 
 Defined cases: null or empty text has no clause and gets the base score; labels that are null, or
 join no document, are not used; with no usable labels the seeds alone decide; a doc_id labelled
-twice counts once per label row; repeated documents get equal scores; an empty table gives no rows;
+twice counts once per label; repeated documents get equal scores; an empty table gives no rows;
 lang, source and other columns are never read.
 """
 
@@ -259,14 +259,15 @@ def fit(texts: list[str], toxic: list[int], share: float, rounds: int = 400) ->
 def train(docs: DataFrame, labels: DataFrame, sample_per_class: int = SAMPLE_PER_CLASS) -> Model:
     """Fit on a bounded sample of labelled rows outside the held-out fold."""
     open_fold = fold("doc_id", HELD_FOLDS) != HELD_OUT
-    marked = labels.where(F.col("toxic").isin(0, 1) & open_fold).select("doc_id", F.col("toxic").cast("int").alias("toxic"))
+    marked = labels.where(F.col("toxic").isin(0, 1) & open_fold).select("doc_id", F.col("toxic").cast("int").alias("toxic")).distinct()
     counts = {r.toxic: r["count"] for r in marked.groupBy("toxic").count().collect()}
     space = 1 << 30
     share = F.lit(0)
     for y, n in counts.items():
         share = F.when(F.col("toxic") == y, int(space * min(1.0, sample_per_class / n))).otherwise(share)
     picked = marked.where(F.pmod(F.xxhash64("doc_id"), F.lit(space)) < share)
-    rows = docs.where(open_fold).select("doc_id", "text").join(picked, "doc_id").select("doc_id", "toxic", F.lower(F.substring(F.coalesce("text", F.lit("")), 1, LEARN_CHARS)).alias("t"))
+    # the sample's ids are at most about twice sample_per_class rows, whatever the tables' sizes
+    rows = docs.where(open_fold).select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("doc_id", "toxic", F.lower(F.substring(F.coalesce("text", F.lit("")), 1, LEARN_CHARS)).alias("t"))
     got = sorted((r.doc_id, r.toxic, r.t) for r in rows.toLocalIterator())
     got = [got[i] for i in np.random.default_rng(3).permutation(len(got))]
     share_toxic = counts.get(1, 0) / max(sum(counts.values()), 1)
