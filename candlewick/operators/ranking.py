@@ -35,11 +35,12 @@ def batch_correlations(rows: DataFrame, batch_rows: int = BATCH_ROWS) -> DataFra
 
 def stability(batches: DataFrame, penalty: float = 1.0) -> DataFrame:
     """mean, population std_dev and stability_score = mean - penalty * std_dev, with rank per series.
-    Ties go to the greater mean, then to schema order."""
+    Ties go to the greater mean, then to schema order; values are compared to 12 decimals, so that
+    equal features tie whatever the order in which their sums were added."""
     g = batches.groupBy(*KEYS, "idx", "feature").agg(F.avg("abs_r").alias("mean"), F.stddev_pop("abs_r").alias("std_dev"))
     g = g.withColumn("stability_score", F.col("mean") - penalty * F.col("std_dev"))
     # one row per feature: a series has no more of them than its schema
-    w = Window.partitionBy(*KEYS).orderBy(F.col("stability_score").desc(), F.col("mean").desc(), F.col("idx"))
+    w = Window.partitionBy(*KEYS).orderBy(F.round("stability_score", 12).desc(), F.round("mean", 12).desc(), F.col("idx"))
     return g.withColumn("rank", F.row_number().over(w))
 
 

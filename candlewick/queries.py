@@ -400,7 +400,7 @@ SELECT instrument, idx, feature, why IS NULL AND first = feature AS kept, CASE W
         "p2_corr": f"{head}, p AS ({pairs}) SELECT a, b, {_r('greatest(-1, least(1, r))', 'corr')}, {_r('greatest(0, 1 - abs(greatest(-1, least(1, r))))', 'dist')} FROM p",
         "p3_batch_corr": f"{batches} SELECT instrument, batch_id, feature, {_r('abs_r', 'abs_r')} FROM h",
         "p4_stability_rank": f"{batches} SELECT instrument, feature, {_r('mean', 'mean')}, {_r('dev', 'std_dev')}, {_r('mean - dev', 'stability_score')} FROM m",
-        "top_n": f"{batches}, o AS (SELECT *, row_number() OVER (PARTITION BY instrument ORDER BY mean - dev DESC, mean DESC, idx) AS rank FROM m) SELECT instrument, feature, rank::INTEGER AS rank FROM o WHERE rank <= 3",
+        "top_n": f"{batches}, o AS (SELECT *, row_number() OVER (PARTITION BY instrument ORDER BY round(mean - dev, 12) DESC, round(mean, 12) DESC, idx) AS rank FROM m) SELECT instrument, feature, rank::INTEGER AS rank FROM o WHERE rank <= 3",
         "export_head": f"{head} SELECT f.instrument, g.ts, {_half_even('g.close')} AS close, isodow(to_timestamp(g.ts) AT TIME ZONE 'UTC')::SMALLINT AS time_day_of_week, "
         f"{', '.join(_r(f'g.{n}', n) for n in ('roc_14', 'sma_5', 'std_dev_14'))} FROM g JOIN f USING (instrument, rn) WHERE g.instrument = '{SERIES}' ORDER BY g.rn LIMIT 500",
     }
