@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,8 +15,21 @@ KEYS = ("instrument", "timeframe")
 ORDER = "timestamp"
 
 
+_partition: ContextVar[tuple[str, ...]] = ContextVar("partition", default=KEYS)
+
+
+@contextmanager
+def partitioned_by(*keys: str) -> Iterator[None]:
+    """Frames built inside are partitioned by ``keys`` instead of the series."""
+    token = _partition.set(keys)
+    try:
+        yield
+    finally:
+        _partition.reset(token)
+
+
 def base():
-    return Window.partitionBy(*KEYS).orderBy(ORDER)
+    return Window.partitionBy(*_partition.get()).orderBy(ORDER)
 
 
 def last(p: int):
@@ -44,13 +61,13 @@ def full_after(p: int, value: Column) -> Column:
 
 
 def with_bars(candles: DataFrame) -> DataFrame:
-    """Adds what families share, in one sorted pass: rn, n, the previous bar, change, true range
-    (tr, 0 on the first bar) and typical price (tp)."""
+    """Adds what families share, in one sorted pass: rn and n (if not there), the previous bar,
+    change, true range (tr, 0 on the first bar) and typical price (tp)."""
     w = base()
+    if "rn" not in candles.columns:
+        candles = candles.withColumns({"rn": F.row_number().over(w).cast("long"), "n": F.count("*").over(whole())})
     df = candles.withColumns(
         {
-            "rn": F.row_number().over(w).cast("long"),
-            "n": F.count("*").over(whole()),
             "prev_high": F.lag("high").over(w),
             "prev_low": F.lag("low").over(w),
             "prev_close": F.lag("close").over(w),

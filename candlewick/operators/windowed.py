@@ -166,7 +166,7 @@ FAMILIES: dict[str, Callable[[int], Stages]] = {
 
 def add_windowed(candles: DataFrame, wanted: dict[str, list[int]]) -> DataFrame:
     """``candles`` (keys, prices, volume) with the columns of the wanted families and periods."""
-    df = W.with_bars(candles) if "rn" not in candles.columns else candles
+    df = W.with_bars(candles) if "tr" not in candles.columns else candles
     stages: list[dict[str, Column]] = []
     for family, periods in wanted.items():
         for p in periods:
