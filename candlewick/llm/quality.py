@@ -32,8 +32,8 @@ EXACT = 32
 RULES = {
     "word_len_milli": (3.0, 1000),
     "symbol_milli": (6.0, 8),
-    "dup_line_milli": (6.0, 50),
-    "repeat_milli": (6.0, 20),
+    "dup_line_milli": (6.0, 100),
+    "repeat_milli": (6.0, 34),
 }
 #: Metrics that also have a lower fence.
 TWO_SIDED = ("word_len_milli",)

@@ -76,7 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 #: One fence of the quality rules in SQL: metric, spreads, least spread, lower fence too.
-_FENCES = (("word_len_milli", 3.0, 1000, True), ("symbol_milli", 6.0, 8, False), ("dup_line_milli", 6.0, 50, False), ("repeat_milli", 6.0, 20, False))
+_FENCES = (("word_len_milli", 3.0, 1000, True), ("symbol_milli", 6.0, 8, False), ("dup_line_milli", 6.0, 100, False), ("repeat_milli", 6.0, 34, False))
 
 
 def _quality_sql() -> str:
