@@ -13,6 +13,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,7 +21,7 @@ from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, Stru
 
 from ..functions.frames import KEYS, ORDER
 from ..operators import kernels
-from ..operators.recursive import nullable, series_of
+from ..operators.recursive import series_of
 from ..shipping import ship
 
 MIN_PERIOD, MAX_PERIOD = 5, 200
@@ -72,12 +73,14 @@ def packed_features(bars: DataFrame, space: FeatureSpace) -> DataFrame:
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by([(ORDER, "ascending")])
         s, p, n = series_of(table), table.column("period")[0].as_py(), table.num_rows
-        columns = [nullable(r) for r in (s.outputs(outputs, p) if p else s.obv_line()).values()]
-        k = len(columns)
-        flat = pa.concat_arrays(columns).take(pa.array([j * n + i for i in range(n) for j in range(k)]))
-        values = pa.ListArray.from_arrays(pa.array(range(0, n * k + 1, k), pa.int32()), flat)
+        results = list((s.outputs(outputs, p) if p else s.obv_line()).values())
+        k = len(results)
+        flat = np.column_stack([v for v, _ in results]).ravel()
+        unknown = ~np.column_stack([known for _, known in results]).ravel()
+        values = pa.ListArray.from_arrays(pa.array(np.arange(0, n * k + 1, k, dtype=np.int32)), pa.array(flat, type=pa.float64(), mask=unknown))
         kept = [table.column(c) for c in (*KEYS, ORDER)]
-        return pa.Table.from_arrays([*kept, pa.array(range(1, n + 1), pa.int64()), table.column("close"), pa.array([p] * n, pa.int32()), values], names=[f.name for f in schema.fields])
+        numbers = [pa.array(np.arange(1, n + 1, dtype=np.int64)), table.column("close"), pa.array(np.full(n, p, dtype=np.int32)), values]
+        return pa.Table.from_arrays([*kept, *numbers], names=[f.name for f in schema.fields])
 
     fanned = bars.select(*KEYS, ORDER, "open", "high", "low", "close", "volume", F.explode(F.array(*map(F.lit, periods))).alias("period"))
     return fanned.groupBy(*KEYS, "period").applyInArrow(run, schema)
