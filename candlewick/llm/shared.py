@@ -11,7 +11,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -74,6 +74,20 @@ def bound_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+_caches: dict[str, Callable[[], None]] = {}
+
+
+def register_cache(name: str, clear: Callable[[], None]) -> None:
+    """Name a large cache of this Python worker; Spark uses a worker for one operator after another."""
+    _caches[name] = clear
+
+
+def release_caches() -> None:
+    """Free what other operators have left in this worker."""
+    while _caches:
+        _caches.popitem()[1]()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import Scratch, bound_batches, text_bytes
+from .shared import Scratch, bound_batches, register_cache, text_bytes
 
 TOKENIZER_FILE = "word_bpe_49k.json"
 END_ID = 1
@@ -140,6 +140,7 @@ def encoder(path: str) -> Encoder:
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core a task
+    register_cache("tokens", encoder.cache_clear)
     return Encoder(path)
 
 
