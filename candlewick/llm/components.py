@@ -7,15 +7,16 @@ from pyspark.sql import functions as F
 
 from .shared import Scratch
 
-#: Rounds after which the loop gives up; each at least halves every component's remaining vertices.
+#: Rounds, and jumps in a round, after which the loop gives up; each halves what is left.
 MAX_ROUNDS = 60
 
 
 def connected_components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     """(vertex, component): each vertex of ``links`` (a, b) with the least vertex it can reach.
 
-    Each round, every vertex hooks onto its least neighbour, two pointer jumps shorten the chains
-    this makes, and links are redrawn between what is left. A vertex with very many links is one
+    Each round, every vertex hooks onto its least neighbour, pointer jumps flatten the trees this
+    makes (in the logarithm of their depth), and links are redrawn between the roots, of which there
+    are at most half as many as vertices. A vertex with very many links is one
     row per task in the map-side combined minimum, and its joins have plain keys that adaptive
     execution splits. Self-links are allowed; repeated links do not matter.
     """
@@ -28,14 +29,19 @@ def connected_components(links: DataFrame, scratch: Scratch, name: str) -> DataF
         both = edges.select(F.col("a").alias("v"), F.col("b").alias("n")).unionByName(edges.select(F.col("b").alias("v"), F.col("a").alias("n")))
         hook = both.groupBy("v").agg(F.min("n").alias("n")).select("v", F.least("v", "n").alias("p"))
         hook = scratch.cut(hook, f"{name}-hook-{i}")
-        for j in (1, 2):
+        for j in range(1, MAX_ROUNDS + 1):
             up = hook.select(F.col("v").alias("u"), F.col("p").alias("pp"))
-            hook = scratch.cut(hook.join(up, F.col("p") == F.col("u")).select("v", F.col("pp").alias("p")), f"{name}-hook-{i}-{j}")
+            flat = hook.join(up, F.col("p") == F.col("u")).select("v", F.col("pp").alias("p"), (F.col("p") != F.col("pp")).alias("moved"))
+            flat = scratch.cut(flat, f"{name}-hook-{i}-{j}")
+            scratch.drop(f"{name}-hook-{i}" if j == 1 else f"{name}-hook-{i}-{j - 1}")
+            hook, settled = flat.drop("moved"), flat.where("moved").isEmpty()
+            if settled:
+                break
         of_a = hook.select(F.col("v").alias("va"), F.col("p").alias("pa"))
         of_b = hook.select(F.col("v").alias("vb"), F.col("p").alias("pb"))
         moved = edges.join(of_a, F.col("a") == F.col("va")).join(of_b, F.col("b") == F.col("vb")).where("pa <> pb")
         edges = scratch.cut(moved.select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b")).distinct(), f"{name}-edges-{i}")
         new = labels.join(of_a, F.col("component") == F.col("va"), "left").select("vertex", F.coalesce("pa", "component").alias("component"))
         labels = scratch.cut(new, f"{name}-labels-{i}")
-        scratch.drop(f"{name}-edges-{i - 1}", f"{name}-labels-{i - 1}", f"{name}-hook-{i}", f"{name}-hook-{i}-1", f"{name}-hook-{i}-2")
+        scratch.drop(f"{name}-edges-{i - 1}", f"{name}-labels-{i - 1}", f"{name}-hook-{i}-{j}")
     raise RuntimeError("components did not settle")

@@ -5,8 +5,9 @@ its least doc_id stands for. TOKENS minwise tokens summarise each class. In each
 trees, a class walks down from the root: a node picks a token position by its own hash, and the
 class's token there leads to the child (a second position with probability BRANCH, so that a pair at
 the threshold keeps about one common path a level). Nodes of at most NODE_LIMIT classes are compared
-exhaustively; larger ones branch on, and what is still large at DEPTH is compared with two pivots
-of the node, which is linear in its size.
+exhaustively; larger ones branch on, and what is still large at DEPTH is compared with pivots of the
+node, which is linear in its size: two at random and the medoid, the member that agrees best with the
+node's commonest tokens (as the text does that the others were copied from).
 
 Comparing first estimates similarity from the tokens and passes on pairs over ESTIMATE (five
 standard deviations under the threshold), then confirms them on the full shingle sets of the two
@@ -33,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .shared import Scratch, bound_batches, text_bytes
+from .shared import Scratch, bound_batches, release_caches, text_bytes
 
 WIDTH = 4
 THRESHOLD_PERCENT = 80
@@ -43,6 +44,8 @@ DEPTH = 4
 NODE_LIMIT = 12
 BRANCH = 0.25
 ESTIMATE = 0.55
+#: Members of a large node that are asked for its commonest tokens.
+POLL = 128
 
 _RNG = np.random.default_rng(20240607)
 _BYTE = _RNG.integers(0, 1 << 63, 256, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
@@ -98,6 +101,7 @@ def minwise(shingles: np.ndarray) -> bytes:
 
 def _profile(width: int):
     def run(texts: pa.Array) -> pa.Array:
+        release_caches()
         n, prints, tokens = [], [], []
         for x in texts:
             raw = x.as_buffer()
@@ -110,7 +114,7 @@ def _profile(width: int):
     return F.arrow_udf(run, "struct<n:bigint,print:binary,tokens:binary>")
 
 
-@lru_cache(maxsize=64)
+@lru_cache(maxsize=8)
 def exact_set(raw: bytes, width: int) -> frozenset:
     """The full shingle set of a text, as word sequences."""
     words = raw.lower().split()  # bytes: lower-cases A-Z, splits at ASCII white space
@@ -135,6 +139,39 @@ def _position(key: Column, salt: int) -> Column:
     return F.pmod(F.xxhash64(key, F.lit(salt)), F.lit(TOKENS))
 
 
+def _agreement(x: pa.Array, y: pa.Array) -> pa.Array:
+    """Share of equal tokens, row by row."""
+    s, t = (np.frombuffer(b"".join(z.to_pylist()), dtype="<u4").reshape(-1, TOKENS) for z in (x, y))
+    return pa.array((s == t).mean(axis=1), pa.float64())
+
+
+def _consensus(col: pa.Array) -> pa.Array:
+    """The commonest token at each position of each list of token rows."""
+    out = []
+    for rows in col:
+        t = np.sort(np.frombuffer(b"".join(x.as_py() for x in rows.values), dtype="<u4").reshape(-1, TOKENS), axis=0)
+        best = t[0].copy()
+        most, run = np.zeros(TOKENS, dtype=int), np.zeros(TOKENS, dtype=int)
+        for i in range(len(t)):
+            run = np.where(t[i] == t[i - 1], run + 1, 1) if i else np.ones(TOKENS, dtype=int)
+            best = np.where(run > most, t[i], best)
+            most = np.maximum(run, most)
+        out.append(best.astype("<u4").tobytes())
+    return pa.array(out, pa.binary())
+
+
+def _with_medoid(large: DataFrame, classes: DataFrame, scratch: Scratch) -> DataFrame:
+    """(m_key, medoid) of each large node. The commonest tokens come from about POLL members, which
+    only steers the choice; every member is held against them, in one map-side combined maximum."""
+    told = scratch.cut(large.join(classes.withColumnRenamed("rep", "t_rep"), F.col("rep") == F.col("t_rep")).select("key", "rep", "size", "tokens"), "told")
+    polled = told.where(F.pmod(F.xxhash64("rep", "key", F.lit("poll")), F.ceil(F.col("size") / POLL)) == 0)
+    polls = polled.groupBy("key").agg(F.collect_list("tokens").alias("ts")).select(F.col("key").alias("p_key"), F.arrow_udf(_consensus, "binary")("ts").alias("common"))
+    held = told.join(scratch.cut(polls, "polls"), F.col("key") == F.col("p_key"))
+    held = held.select("key", "rep", F.arrow_udf(_agreement, "double")("tokens", "common").alias("like"))
+    held = scratch.cut(held, "held")  # apart from the grouping, so that the join can be split
+    return held.groupBy(F.col("key").alias("m_key")).agg(F.max_by("rep", F.struct("like", -F.col("rep"))).alias("medoid"))
+
+
 def candidate_pairs(classes: DataFrame, scratch: Scratch) -> DataFrame:
     """(a, b, est): pairs of class representatives that a common node compared, over ESTIMATE."""
     root = F.xxhash64(F.lit("tree"), F.col("tree"))
@@ -146,7 +183,8 @@ def candidate_pairs(classes: DataFrame, scratch: Scratch) -> DataFrame:
         order = F.xxhash64("rep", "key")
         nodes = rows.groupBy("key").agg(F.count("*").alias("size"), F.min_by("rep", order).alias("low"), F.max_by("rep", order).alias("high")).where("size > 1")
         nodes = scratch.cut(nodes.withColumnRenamed("key", "node"), f"nodes-{level}")
-        inside = rows.join(nodes.hint("merge"), F.col("key") == F.col("node"))
+        # written before it is grouped, so that a key of very many rows can be split in the join
+        inside = scratch.cut(rows.join(nodes.hint("merge"), F.col("key") == F.col("node")).drop("node"), f"inside-{level}")
         # at most NODE_LIMIT members each; the same members from several trees are compared once
         members = inside.where(F.col("size") <= NODE_LIMIT).groupBy("key").agg(F.array_sort(F.collect_set("rep")).alias("members")).select("members").where(F.size("members") > 1).distinct()
         small.append(scratch.cut(members, f"members-{level}"))
@@ -154,7 +192,8 @@ def candidate_pairs(classes: DataFrame, scratch: Scratch) -> DataFrame:
             break
         large = inside.where(F.col("size") > NODE_LIMIT)
         if level == DEPTH:
-            for lead in ("low", "high"):
+            large = scratch.cut(large.join(_with_medoid(large, classes, scratch), F.col("key") == F.col("m_key")), "large")
+            for lead in ("low", "high", "medoid"):
                 pivots.append(large.where(F.col("rep") != F.col(lead)).select(F.least("rep", lead).alias("a"), F.greatest("rep", lead).alias("b")))
             break
         walk = large.select("key", F.col("rep").alias("w_rep")).join(classes, F.col("w_rep") == F.col("rep"))
@@ -182,15 +221,11 @@ def candidate_pairs(classes: DataFrame, scratch: Scratch) -> DataFrame:
 
     pairs = packed.select(F.explode(F.arrow_udf(compare, "array<struct<a:bigint,b:bigint,est:double>>")("g")).alias("p")).select("p.*")
     if pivots:
-        def estimate(x: pa.Array, y: pa.Array) -> pa.Array:
-            s, t = (np.frombuffer(b"".join(z.to_pylist()), dtype="<u4").reshape(-1, TOKENS) for z in (x, y))
-            return pa.array((s == t).mean(axis=1), pa.float64())
-
-        star = scratch.cut(pivots[0].unionByName(pivots[1]).distinct(), "pivots")
+        star = scratch.cut(pivots[0].unionByName(pivots[1]).unionByName(pivots[2]).distinct(), "pivots")
         of_a = classes.select(F.col("rep").alias("ra"), F.col("tokens").alias("ta"))
         of_b = classes.select(F.col("rep").alias("rb"), F.col("tokens").alias("tb"))
         star = star.join(of_a, F.col("a") == F.col("ra")).join(of_b, F.col("b") == F.col("rb"))
-        star = star.select("a", "b", F.arrow_udf(estimate, "double")("ta", "tb").alias("est")).where(F.col("est") >= ESTIMATE)
+        star = star.select("a", "b", F.arrow_udf(_agreement, "double")("ta", "tb").alias("est")).where(F.col("est") >= ESTIMATE)
         pairs = pairs.unionByName(star)
     return scratch.cut(pairs.groupBy("a", "b").agg(F.max("est").alias("est")), "pairs")
 
