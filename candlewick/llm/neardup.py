@@ -6,13 +6,14 @@ trees, a class walks down from the root: a node picks a token position by its ow
 class's token there leads to the child (a second position with probability BRANCH, so that a pair at
 the threshold keeps about one common path a level). Nodes of at most NODE_LIMIT classes are compared
 exhaustively; larger ones branch on, and what is still large at DEPTH is compared with pivots of the
-node, which is linear in its size: two at random and the medoid, the member that agrees best with the
+node, which is linear in its size: one at random and the medoid, the member that agrees best with the
 node's commonest tokens (as the text does that the others were copied from).
 
 Comparing first estimates similarity from the tokens and passes on pairs over ESTIMATE (five
 standard deviations under the threshold), then confirms them on the full shingle sets of the two
 texts. Each class's best pair is confirmed first; of the others only those that still join
-different components, so a group of thousands is linked by about as many confirmations.
+different components, so a group of thousands is linked by about as many confirmations. Members
+of large nodes that are then apart from their medoid are pivots in turn, STRAYS per node and tree.
 
 A pair at similarity 0.8 shares a path of k levels with probability 0.8 ** k per tree; the trees
 miss one with probability (1 - 0.8 ** k) ** TREES: 7e-12 at level 1, 2e-4 at level 4.
@@ -30,10 +31,10 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .components import connected_components
+from .components import connected_components, merge_components
 from .shared import Scratch, bound_batches, release_caches, text_bytes
 
 WIDTH = 4
@@ -44,8 +45,12 @@ DEPTH = 4
 NODE_LIMIT = 12
 BRANCH = 0.25
 ESTIMATE = 0.55
+#: Bytes of a text that are hashed at once.
+PIECE = 1 << 20
 #: Members of a large node that are asked for its commonest tokens.
 POLL = 128
+#: Members apart from the rest that a large node compares with all others.
+STRAYS = 1
 
 _RNG = np.random.default_rng(20240607)
 _BYTE = _RNG.integers(0, 1 << 63, 256, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
@@ -64,19 +69,34 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
-def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(start, 64-bit hash) of each word of a byte array."""
+def word_hashes(data: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the words of a byte array, taken PIECE bytes at a time (up to a word's end)."""
+    if len(data) <= PIECE:
+        return _piece_hashes(data)
+    out, at = [], 0
+    while at < len(data):
+        end = at + PIECE
+        while end < len(data) and not (stop := _IS_SPACE[data[end : end + PIECE]]).any():
+            end += len(stop)
+        if end < len(data):
+            end += int(stop.argmax())
+        out.append(_piece_hashes(data[at:end]))
+        at = end
+    return np.concatenate(out)
+
+
+def _piece_hashes(data: np.ndarray) -> np.ndarray:
     space = _IS_SPACE[data]
     starts = np.flatnonzero(~space & np.concatenate(([True], space[:-1])))
     if not len(starts):
-        return starts, np.empty(0, np.uint64)
-    place = np.arange(len(data), dtype=np.int64)
-    place -= np.repeat(starts, np.diff(np.append(starts, len(data)))) if not starts[0] else np.concatenate((place[: starts[0]], np.repeat(starts, np.diff(np.append(starts, len(data))))))
+        return np.empty(0, np.uint64)
+    data, space, starts = data[starts[0] :], space[starts[0] :], starts - starts[0]
+    place = np.arange(len(data), dtype=np.int64) - np.repeat(starts, np.diff(np.append(starts, len(data))))
     place[space] = 0
     power = np.multiply.accumulate(np.full(int(place.max()) + 1, _BASE))
     value = _BYTE[_LOWER[data]] * power[place]
     value[space] = 0
-    return starts, _mix(np.add.reduceat(value, starts))
+    return _mix(np.add.reduceat(value, starts))
 
 
 def shingle_hashes(words: np.ndarray, width: int) -> np.ndarray:
@@ -105,7 +125,7 @@ def _profile(width: int):
         n, prints, tokens = [], [], []
         for x in texts:
             raw = x.as_buffer()
-            shingles = shingle_hashes(word_hashes(np.frombuffer(raw, dtype=np.uint8))[1], width) if raw.size else np.empty(0, np.uint64)
+            shingles = shingle_hashes(word_hashes(np.frombuffer(raw, dtype=np.uint8)), width) if raw.size else np.empty(0, np.uint64)
             n.append(len(shingles))
             prints.append(hashlib.blake2b(shingles.tobytes(), digest_size=16).digest() if len(shingles) else None)
             tokens.append(minwise(shingles) if len(shingles) else None)
@@ -166,37 +186,43 @@ def _with_medoid(large: DataFrame, classes: DataFrame, scratch: Scratch) -> Data
     told = scratch.cut(large.join(classes.withColumnRenamed("rep", "t_rep"), F.col("rep") == F.col("t_rep")).select("key", "rep", "size", "tokens"), "told")
     polled = told.where(F.pmod(F.xxhash64("rep", "key", F.lit("poll")), F.ceil(F.col("size") / POLL)) == 0)
     polls = polled.groupBy("key").agg(F.collect_list("tokens").alias("ts")).select(F.col("key").alias("p_key"), F.arrow_udf(_consensus, "binary")("ts").alias("common"))
-    held = told.join(scratch.cut(polls, "polls"), F.col("key") == F.col("p_key"))
+    held = told.join(polls, F.col("key") == F.col("p_key"))
     held = held.select("key", "rep", F.arrow_udf(_agreement, "double")("tokens", "common").alias("like"))
     held = scratch.cut(held, "held")  # apart from the grouping, so that the join can be split
     return held.groupBy(F.col("key").alias("m_key")).agg(F.max_by("rep", F.struct("like", -F.col("rep"))).alias("medoid"))
 
 
-def candidate_pairs(classes: DataFrame, scratch: Scratch) -> DataFrame:
-    """(a, b, est): pairs of class representatives that a common node compared, over ESTIMATE."""
+def _estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs (a, b) with their estimated similarity, those over ESTIMATE."""
+    of_a = classes.select(F.col("rep").alias("ra"), F.col("tokens").alias("ta"))
+    of_b = classes.select(F.col("rep").alias("rb"), F.col("tokens").alias("tb"))
+    both = pairs.join(of_a, F.col("a") == F.col("ra")).join(of_b, F.col("b") == F.col("rb"))
+    return both.select("a", "b", F.arrow_udf(_agreement, "double")("ta", "tb").alias("est")).where(F.col("est") >= ESTIMATE)
+
+
+def candidate_pairs(classes: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame | None]:
+    """(pairs, large): pairs (a, b, est) of class representatives that a common node compared, over
+    ESTIMATE; and the memberships (key, rep, medoid, ...) of nodes still large at DEPTH, if any."""
     root = F.xxhash64(F.lit("tree"), F.col("tree"))
     rows = classes.select("rep", "tokens", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
     rows = rows.select("rep", F.xxhash64(root, _token(_position(root, 0))).alias("key"))
-    small, pivots = [], []
+    small, large = [], None
     for level in range(1, DEPTH + 1):
-        rows = scratch.cut(rows, f"paths-{level}")
+        if level > 1:
+            rows = scratch.cut(rows, f"paths-{level}")
         order = F.xxhash64("rep", "key")
-        nodes = rows.groupBy("key").agg(F.count("*").alias("size"), F.min_by("rep", order).alias("low"), F.max_by("rep", order).alias("high")).where("size > 1")
-        nodes = scratch.cut(nodes.withColumnRenamed("key", "node"), f"nodes-{level}")
+        nodes = rows.groupBy(F.col("key").alias("node")).agg(F.count("*").alias("size"), F.min_by("rep", order).alias("low")).where("size > 1")
         # written before it is grouped, so that a key of very many rows can be split in the join
         inside = scratch.cut(rows.join(nodes.hint("merge"), F.col("key") == F.col("node")).drop("node"), f"inside-{level}")
         # at most NODE_LIMIT members each; the same members from several trees are compared once
-        members = inside.where(F.col("size") <= NODE_LIMIT).groupBy("key").agg(F.array_sort(F.collect_set("rep")).alias("members")).select("members").where(F.size("members") > 1).distinct()
-        small.append(scratch.cut(members, f"members-{level}"))
-        if nodes.where(F.col("size") > NODE_LIMIT).isEmpty():
+        small.append(inside.where(F.col("size") <= NODE_LIMIT).groupBy("key").agg(F.array_sort(F.collect_set("rep")).alias("members")).select("members").where(F.size("members") > 1))
+        many = inside.where(F.col("size") > NODE_LIMIT)
+        if many.isEmpty():
             break
-        large = inside.where(F.col("size") > NODE_LIMIT)
         if level == DEPTH:
-            large = scratch.cut(large.join(_with_medoid(large, classes, scratch), F.col("key") == F.col("m_key")), "large")
-            for lead in ("low", "high", "medoid"):
-                pivots.append(large.where(F.col("rep") != F.col(lead)).select(F.least("rep", lead).alias("a"), F.greatest("rep", lead).alias("b")))
+            large = scratch.cut(many.join(_with_medoid(many, classes, scratch), F.col("key") == F.col("m_key")).drop("m_key"), "large")
             break
-        walk = large.select("key", F.col("rep").alias("w_rep")).join(classes, F.col("w_rep") == F.col("rep"))
+        walk = many.select("key", F.col("rep").alias("w_rep")).join(classes, F.col("w_rep") == F.col("rep"))
         second = F.pmod(F.xxhash64("key", F.lit("second")), F.lit(1 << 20)) < int(BRANCH * (1 << 20))
         children = [F.xxhash64("key", F.lit(k), _token(_position(F.col("key"), k))) for k in (1, 2)]
         ways = F.when(second, F.array(*children)).otherwise(F.array(children[0]))
@@ -220,14 +246,10 @@ def candidate_pairs(classes: DataFrame, scratch: Scratch) -> DataFrame:
         return pa.array(out, pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64()), ("est", pa.float64())])))
 
     pairs = packed.select(F.explode(F.arrow_udf(compare, "array<struct<a:bigint,b:bigint,est:double>>")("g")).alias("p")).select("p.*")
-    if pivots:
-        star = scratch.cut(pivots[0].unionByName(pivots[1]).unionByName(pivots[2]).distinct(), "pivots")
-        of_a = classes.select(F.col("rep").alias("ra"), F.col("tokens").alias("ta"))
-        of_b = classes.select(F.col("rep").alias("rb"), F.col("tokens").alias("tb"))
-        star = star.join(of_a, F.col("a") == F.col("ra")).join(of_b, F.col("b") == F.col("rb"))
-        star = star.select("a", "b", F.arrow_udf(_agreement, "double")("ta", "tb").alias("est")).where(F.col("est") >= ESTIMATE)
-        pairs = pairs.unionByName(star)
-    return scratch.cut(pairs.groupBy("a", "b").agg(F.max("est").alias("est")), "pairs")
+    if large is not None:
+        star = large.select("rep", F.explode(F.array("low", "medoid")).alias("lead")).where("rep <> lead")
+        pairs = pairs.unionByName(_estimated(star.select(F.least("rep", "lead").alias("a"), F.greatest("rep", "lead").alias("b")).distinct(), classes))
+    return scratch.cut(pairs.groupBy("a", "b").agg(F.max("est").alias("est")), "pairs"), large
 
 
 def _confirm(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
@@ -240,6 +262,22 @@ def _confirm(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
     return both.where(F.arrow_udf(run, "boolean")("xa", "xb")).select("a", "b")
 
 
+def _place_strays(labels: DataFrame, large: DataFrame, classes: DataFrame, texts: DataFrame, scratch: Scratch, width: int) -> DataFrame:
+    """Members of large nodes that are still apart from their medoid become pivots themselves: up
+    to STRAYS of each node, others in each tree, are compared with all members apart from them."""
+    of_rep = labels.select(F.col("vertex").alias("vr"), F.col("component").alias("cr"))
+    of_medoid = labels.select(F.col("vertex").alias("vm"), F.col("component").alias("cm"))
+    placed = large.select("key", "rep", "medoid").join(of_rep, F.col("rep") == F.col("vr"), "left").join(of_medoid, F.col("medoid") == F.col("vm"), "left")
+    placed = scratch.cut(placed.select("key", "rep", F.coalesce("cr", "rep").alias("own"), F.coalesce("cm", "medoid").alias("main")), "placed")
+    strays = placed.where("own <> main").withColumn("turn", F.row_number().over(Window.partitionBy("key").orderBy(F.xxhash64("rep", "key")))).where(F.col("turn") <= STRAYS)
+    strays = scratch.cut(strays.select(F.col("key").alias("s_key"), F.col("rep").alias("stray"), F.col("own").alias("s_own")), "strays")
+    if strays.isEmpty():
+        return labels
+    star = placed.join(strays, F.col("key") == F.col("s_key")).where("own <> s_own").select(F.least("rep", "stray").alias("a"), F.greatest("rep", "stray").alias("b"))
+    near = _estimated(scratch.cut(star.distinct(), "stray-pairs"), classes)
+    return merge_components(labels, scratch.cut(_confirm(near, texts, width), "links-3"), scratch, "third")
+
+
 def near_duplicates(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """doc_id, n_shingles, component_id, kept."""
     spark = docs.sparkSession
@@ -250,22 +288,24 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     # equal sets: a map-side combined minimum, one row per task for the largest group of copies
     classes = p.where("n > 0 AND doc_id IS NOT NULL").groupBy("print").agg(F.min("doc_id").alias("rep"), F.first("tokens").alias("tokens"), F.count("*").alias("copies"))
     classes = scratch.cut(classes, "classes")
-    pairs = candidate_pairs(classes.select("rep", "tokens"), scratch)
+    pairs, large = candidate_pairs(classes.select("rep", "tokens"), scratch)
 
-    ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("t_id"), text_bytes().alias("t")).join(ids.hint("merge"), F.col("t_id") == F.col("id"), "left_semi")
+    ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
+    if large is not None:
+        ids = ids.unionByName(large.select(F.col("rep").alias("id")))
+    texts = docs.select(F.col("doc_id").cast("long").alias("t_id"), text_bytes().alias("t")).join(ids.distinct().hint("merge"), F.col("t_id") == F.col("id"), "left_semi")
     texts = scratch.cut(texts, "texts")
     directed = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "est"))
     best = directed.groupBy("a").agg(F.max_by("b", F.struct("est", "b")).alias("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    links = scratch.cut(_confirm(best, texts, width), "links-1")
-    found = connected_components(links, scratch, "first")
-    of_a = found.select(F.col("vertex").alias("va"), F.col("component").alias("ca"))
-    of_b = found.select(F.col("vertex").alias("vb"), F.col("component").alias("cb"))
-    open_pairs = pairs.join(best.withColumn("done", F.lit(True)), ["a", "b"], "left_anti").join(of_a, F.col("a") == F.col("va"), "left").join(of_b, F.col("b") == F.col("vb"), "left")
-    open_pairs = open_pairs.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
-    more = scratch.cut(_confirm(scratch.cut(open_pairs, "open"), texts, width), "links-2")
-    scratch.drop("texts", "open")
-    labels = connected_components(links.unionByName(more), scratch, "all")
+    labels = connected_components(scratch.cut(_confirm(best, texts, width), "links-1"), scratch, "first")
+    of_a = labels.select(F.col("vertex").alias("va"), F.col("component").alias("ca"))
+    of_b = labels.select(F.col("vertex").alias("vb"), F.col("component").alias("cb"))
+    apart = pairs.join(best, ["a", "b"], "left_anti").join(of_a, F.col("a") == F.col("va"), "left").join(of_b, F.col("b") == F.col("vb"), "left")
+    apart = apart.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
+    labels = merge_components(labels, scratch.cut(_confirm(apart, texts, width), "links-2"), scratch, "second")
+    if large is not None:
+        labels = _place_strays(labels, large, classes, texts, scratch, width)
+    scratch.drop("texts")
 
     whole = classes.join(labels, F.col("rep") == F.col("vertex"), "left").select(F.col("print").alias("c_print"), F.coalesce("component", "rep").alias("c_id"))
     # copies find their class: plain keys, which adaptive execution splits where a class is large

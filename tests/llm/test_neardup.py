@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from candlewick.llm import neardup as N
-from candlewick.llm.components import connected_components
+from candlewick.llm.components import connected_components, merge_components
 from candlewick.llm.shared import Scratch
 
 
@@ -56,6 +56,33 @@ def test_against_brute_force(make_docs, width):
     assert got(make_docs([(i, t, "en", "a") for i, t in texts.items()]), width) == brute(texts, width)
 
 
+@pytest.mark.parametrize("seed", [11, 12])
+def test_large_groups_of_borderline_copies(make_docs, seed):
+    texts = corpus(seed, 40, [(2, 1), (60, 4), (250, 4)])
+    assert got(make_docs([(i, t, "en", "a") for i, t in texts.items()])) == brute(texts, 4)
+
+
+def test_copies_linked_to_the_original_only(make_docs):
+    rnd = random.Random(9)
+    words = [f"v{i}" for i in range(4000)]
+    base = rnd.choices(words, k=200)
+    texts = {0: " ".join(base)}
+    for i in range(1, 80):  # five apart words changed: 0.8 and more to the original, far less to each other
+        copy = base[:]
+        for at in rnd.sample(range(0, 200, 6), 5):
+            copy[at] = f"own{i}x{at}"
+        texts[i] = " ".join(copy)
+    assert got(make_docs([(i, t, "en", "a") for i, t in texts.items()])) == brute(texts, 4)
+
+
+def test_merge_components(spark):
+    scratch = Scratch(spark, "cc")
+    labels = spark.createDataFrame([(1, 1), (2, 1), (5, 5), (6, 5), (8, 8), (9, 8)], "vertex long, component long")
+    out = merge_components(labels, spark.createDataFrame([(2, 6), (10, 11), (9, 8)], "a long, b long"), scratch, "m")
+    assert {r.vertex: r.component for r in out.collect()} == {1: 1, 2: 1, 5: 1, 6: 1, 8: 8, 9: 8, 10: 10, 11: 10}
+    assert merge_components(labels, spark.createDataFrame([(1, 2)], "a long, b long"), scratch, "n").count() == 6
+
+
 def test_tables(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     assert got(docs) == brute({r.doc_id: r.text for r in docs.collect()}, 4)
@@ -79,12 +106,20 @@ def test_word_hashes_match_words():
     rnd = random.Random(3)
     for _ in range(200):
         raw = "".join(rnd.choice("aAbZé \t\n") for _ in range(rnd.randint(1, 60))).encode()
-        starts, hashes = N.word_hashes(np.frombuffer(raw, dtype=np.uint8))
+        hashes = N.word_hashes(np.frombuffer(raw, dtype=np.uint8))
         words = raw.lower().split()
         assert len(words) == len(hashes)
         assert len(set(words)) == len(set(hashes.tolist())) and all((words[i] == words[j]) == (hashes[i] == hashes[j]) for i in range(len(words)) for j in range(i))
 
 
+def test_pieces_do_not_change_the_hashes(monkeypatch):
+    rnd = random.Random(8)
+    texts = [("".join(rnd.choice("aAb é\n") for _ in range(rnd.randint(1, 300)))).encode() for _ in range(100)] + [b"x" * 500 + b" y", b"  " + b"z" * 40]
+    whole = [N.word_hashes(np.frombuffer(t, dtype=np.uint8)).tolist() for t in texts]
+    monkeypatch.setattr(N, "PIECE", 16)
+    assert [N.word_hashes(np.frombuffer(t, dtype=np.uint8)).tolist() for t in texts] == whole
+
+
 def test_threshold_is_exact():
     a = [f"w{i}" for i in range(13)]  # 10 shingles of 4
     assert N.linked(" ".join(a[:12]).encode(), " ".join(a).encode())  # 9 of 10
