@@ -212,7 +212,13 @@ def write_store(docs: DataFrame, path: str, tokenizer: str | None = None, end_id
             yield block.row(shard, number, dict_hash, schema)
 
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("b")).repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id")
+    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
+    # bounds of the shards from the ids alone; a range partitioner would read the texts for its sample
+    cuts = ids.agg(F.percentile_approx("doc_id", [k / n for k in range(1, n)], 100 * n)).first()[0] if n > 1 else None
+    bounds = F.array(*map(F.lit, sorted(set(cuts or [])))).cast("array<bigint>")
+    shard = F.coalesce(F.size(F.filter(bounds, lambda b: b < F.col("doc_id"))), F.lit(0))
+    ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("b")).withColumn("s", F.when(F.col("doc_id").isNull(), 0).otherwise(shard))
+    ordered = ordered.repartitionById(n, "s").drop("s").sortWithinPartitions("doc_id")
     ordered.mapInArrow(run, BLOCK_SCHEMA).write.mode("overwrite").option("compression", "none").parquet(f"{path}/blocks")
 
 
