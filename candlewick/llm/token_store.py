@@ -146,8 +146,13 @@ def encoder(path: str) -> Encoder:
 
 def train_dictionary(docs: DataFrame, path: str, sample: int = DICT_SAMPLE) -> bytes:
     """A zstandard dictionary from the ids of ``sample`` documents; empty if they are too few."""
-    pick = docs.select(F.xxhash64(F.col("doc_id")).alias("h"), "doc_id", text_bytes().alias("b")).orderBy("h", "doc_id").limit(sample)
-    ids = encoder(path).encode([bytes(r.b)[:DICT_PIECE] for r in pick.select("b").toLocalIterator()])
+    # ids first: a top-k of whole texts would meet in one task, as many of them as tasks read
+    few = docs.select("doc_id").where(F.col("doc_id").isNotNull()).distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    chosen = [r.doc_id for r in few.collect()]
+    if not chosen:
+        return b""
+    rows = docs.where(F.col("doc_id").isin(chosen)).select("doc_id", text_bytes().alias("b")).limit(4 * sample)
+    ids = encoder(path).encode([b for _, b in sorted((r.doc_id, bytes(r.b)[:DICT_PIECE]) for r in rows.toLocalIterator())])
     ids = [x for x in ids if len(x) >= 8]
     if len(ids) < 16:
         return b""
