@@ -14,6 +14,10 @@ standard deviations under the threshold), then confirms them on the full shingle
 texts. Each class's best pair is confirmed first; of the others only those that still join
 different components, so a group of thousands is linked by about as many confirmations. Members
 of large nodes that are then apart from their medoid are pivots in turn, STRAYS per node and tree.
+Pivots only shorten what follows: classes of large nodes that are not one component by then are
+joined in full by prefix filtering. With shingles in one order for all (rare first, by a sketch of
+their counts), sets at the threshold share one of the first n - ceil(0.8 n) + 1, so every pair
+across components that may reach it is compared, whether or not one of the two was a pivot.
 
 A pair at similarity 0.8 shares a path of k levels with probability 0.8 ** k per tree; the trees
 miss one with probability (1 - 0.8 ** k) ** TREES: 7e-12 at level 1, 2e-4 at level 4.
@@ -51,6 +55,8 @@ PIECE = 1 << 20
 POLL = 128
 #: Members apart from the rest that a large node compares with all others.
 STRAYS = 1
+#: Counters of the sketch that orders shingles by how common they are; it steers cost, not results.
+COUNTERS = 1 << 20
 
 _RNG = np.random.default_rng(20240607)
 _BYTE = _RNG.integers(0, 1 << 63, 256, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
@@ -278,6 +284,62 @@ def _place_strays(labels: DataFrame, large: DataFrame, classes: DataFrame, texts
     return merge_components(labels, scratch.cut(_confirm(near, texts, width), "links-3"), scratch, "third")
 
 
+def _shingles(raw: pa.Scalar, width: int) -> np.ndarray:
+    return shingle_hashes(word_hashes(np.frombuffer(raw.as_buffer(), dtype=np.uint8)), width)
+
+
+def _counted(rows: DataFrame, width: int) -> np.ndarray:
+    """The sketch: how many texts of ``rows`` have a shingle of each counter, COUNTERS at most."""
+
+    def run(texts: pa.Array) -> pa.Array:
+        return pa.array([np.unique(_shingles(x, width) % np.uint64(COUNTERS)).astype(np.int32) for x in texts], pa.list_(pa.int32()))
+
+    found = rows.select(F.explode(F.arrow_udf(run, "array<int>")("t")).alias("c")).groupBy("c").agg(F.count("*").alias("n")).where("n > 1").toArrow()
+    counts = np.ones(COUNTERS, dtype=np.int64)
+    counts[found["c"].to_numpy()] = found["n"].to_numpy()
+    return counts
+
+
+def _prefixes(rows: DataFrame, width: int) -> DataFrame:
+    """(rep, own, n, place, h): the shingles of each text's prefix, in the common order."""
+    counts = rows.sparkSession.sparkContext.broadcast(_counted(rows, width))
+
+    def run(texts: pa.Array) -> pa.Array:
+        out = []
+        for x in texts:
+            s = _shingles(x, width)
+            s = s[np.lexsort((s, counts.value[(s % np.uint64(COUNTERS)).astype(np.int64)]))]
+            out.append({"n": len(s), "hs": s[: len(s) + THRESHOLD_PERCENT * len(s) // -100 + 1].view(np.int64)})
+        return pa.array(out, pa.struct([("n", pa.int64()), ("hs", pa.list_(pa.int64()))]))
+
+    p = rows.select("rep", "own", F.arrow_udf(run, "struct<n:bigint,hs:array<bigint>>")("t").alias("p"))
+    return p.select("rep", "own", F.col("p.n").alias("n"), F.posexplode("p.hs").alias("place", "h"))
+
+
+def _link_rest(labels: DataFrame, large: DataFrame, classes: DataFrame, texts: DataFrame, scratch: Scratch, width: int) -> DataFrame:
+    """The exact end: all classes of large nodes that are not one component yet, joined by their
+    prefixes. Of a shingle's holders, those outside its commonest component meet all others."""
+    of_rep = labels.select(F.col("vertex").alias("vr"), F.col("component").alias("cr"))
+    held = scratch.cut(large.select("key", "rep").join(of_rep, F.col("rep") == F.col("vr"), "left").select("key", "rep", F.coalesce("cr", "rep").alias("own")), "rest")
+    # unlike the medoid's component alone, this also sees members linked only to each other
+    open_keys = held.groupBy(F.col("key").alias("o_key")).agg(F.min("own").alias("x"), F.max("own").alias("y")).where("x <> y").select("o_key")
+    rows = held.join(open_keys, F.col("key") == F.col("o_key")).select("rep", "own").distinct()
+    rows = scratch.cut(rows.join(texts, F.col("rep") == F.col("t_id")).select("rep", "own", "t").dropDuplicates(["rep"]), "rest-texts")
+    if rows.isEmpty():
+        return labels
+    prefixes = scratch.cut(_prefixes(rows, width), "prefixes")
+    by = prefixes.groupBy("h", "own").agg(F.count("*").alias("k")).groupBy(F.col("h").alias("m_h")).agg(F.max_by("own", F.struct("k", "own")).alias("main"), F.count("*").alias("owns")).where("owns > 1").select("m_h", "main")
+    shared = scratch.cut(prefixes.join(by, F.col("h") == F.col("m_h")).drop("m_h"), "shared")
+    x = shared.where("own <> main").select(F.col("h").alias("x_h"), F.col("rep").alias("x"), F.col("own").alias("x_own"), F.col("n").alias("x_n"), F.col("place").alias("x_place"))
+    both = x.join(shared, (F.col("x_h") == F.col("h")) & (F.col("x_own") != F.col("own")) & ((F.col("own") == F.col("main")) | (F.col("x_own") < F.col("own"))))
+    # the overlap that the threshold asks for, and the most that is left after this shingle
+    both = both.where((100 + THRESHOLD_PERCENT) * F.least(F.col("n") - F.col("place"), F.col("x_n") - F.col("x_place")) >= THRESHOLD_PERCENT * (F.col("n") + F.col("x_n")))
+    pairs = scratch.cut(both.select(F.least("x", "rep").alias("a"), F.greatest("x", "rep").alias("b")).distinct(), "rest-pairs")
+    near = scratch.cut(_estimated(pairs, classes), "rest-near")
+    scratch.drop("rest-texts", "prefixes", "shared")
+    return merge_components(labels, scratch.cut(_confirm(near, texts, width), "links-4"), scratch, "fourth")
+
+
 def near_duplicates(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """doc_id, n_shingles, component_id, kept."""
     spark = docs.sparkSession
@@ -305,6 +367,7 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     labels = merge_components(labels, scratch.cut(_confirm(apart, texts, width), "links-2"), scratch, "second")
     if large is not None:
         labels = _place_strays(labels, large, classes, texts, scratch, width)
+        labels = _link_rest(labels, large, classes, texts, scratch, width)
     scratch.drop("texts")
 
     whole = classes.join(labels, F.col("rep") == F.col("vertex"), "left").select(F.col("print").alias("c_print"), F.coalesce("component", "rep").alias("c_id"))

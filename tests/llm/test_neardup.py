@@ -75,6 +75,17 @@ def test_copies_linked_to_the_original_only(make_docs):
     assert got(make_docs([(i, t, "en", "a") for i, t in texts.items()])) == brute(texts, 4)
 
 
+def test_pairs_on_one_template(make_docs):
+    # 0.76 to all others, 0.83 to the one pair member: nodes stay large, and few paths tell a pair from the rest
+    template, texts = [f"t{i}" for i in range(400)], {}
+    for n in range(150):
+        for i in (2 * n, 2 * n + 1):
+            texts[i] = " ".join([*template, *(f"pair{n}x{k}" for k in range(20)), *(f"own{i}x{k}" for k in range(43))])
+    want = brute(texts, 4)
+    assert len({c for _, c in want.values()}) == 150
+    assert got(make_docs([(i, t, "en", "a") for i, t in texts.items()])) == want
+
+
 def test_merge_components(spark):
     scratch = Scratch(spark, "cc")
     labels = spark.createDataFrame([(1, 1), (2, 1), (5, 5), (6, 5), (8, 8), (9, 8)], "vertex long, component long")
