@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +19,8 @@ from .sources.candles import bars, base_table, candles_from_events, slice_candle
 PERIODS = (5, 14)
 #: The features that selection queries use: small enough to write out in SQL.
 SPACE = FeatureSpace(periods=PERIODS, outputs=("sma", "mom", "roc", "env_middle", "donchian_upper", "std_dev"))
+#: The features that the queries over every series use: all outputs.
+WIDE_SPACE = FeatureSpace(periods=(5, 14, 50, 100))
 BATCH_ROWS = 100
 SERIES = "click"
 EXPORT_COLUMNS = ("close", "instrument", "roc_14", "sma_5", "std_dev_14", "time_day_of_week", "timestamp")
@@ -161,6 +164,56 @@ def selection_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(c, c in set(s.selected)) for c in s.columns], "name string, selected boolean")
 
 
+def _every_series(spark: SparkSession, sf_dir: str) -> list[tuple[str, DataFrame]]:
+    have = candles(spark, sf_dir)
+    names = sorted(r.instrument for r in have.select("instrument").distinct().collect())
+    return [(n, have.where(F.col("instrument") == n)) for n in names]
+
+
+def _matrix(one: DataFrame) -> tuple[list[str], np.ndarray]:
+    packed = packed_features(bars(one), WIDE_SPACE)
+    clean = complete_rows(packed).select("instrument", "timeframe", "rn")
+    names = WIDE_SPACE.names()
+    wanted = one.sparkSession.createDataFrame([(i, i) for i in range(len(names))], "idx int, rank int")
+    rows = cells(packed, WIDE_SPACE).join(clean, ["instrument", "timeframe", "rn"])
+    return names, correlation.pearson(*correlation.gram(correlation.row_vectors(rows, wanted), len(names)))
+
+
+def p2_corr_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = []
+    for series, one in _every_series(spark, sf_dir):
+        names, r = _matrix(one)
+        d = correlation.distances(r)
+        out += [(series, names[i], names[j], float(r[i, j]), float(d[i, j])) for i in range(len(names)) for j in range(i + 1, len(names))]
+    return spark.createDataFrame(out, "instrument string, a string, b string, corr double, dist double").select("instrument", "a", "b", rounded("corr"), rounded("dist"))
+
+
+def p2_clusters_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = []
+    for series, one in _every_series(spark, sf_dir):
+        names, r = _matrix(one)
+        _, label = correlation.representatives(names, r)
+        out += [(series, n, int(c), bool(c == i)) for i, (n, c) in enumerate(zip(names, label, strict=True))]
+    return spark.createDataFrame(out, "instrument string, feature string, cluster int, representative boolean")
+
+
+def export_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = [export_head(one, EXPORT_COLUMNS, WIDE_SPACE) for _, one in _every_series(spark, sf_dir)]
+    out = parts[0]
+    for more in parts[1:]:
+        out = out.unionByName(more)
+    return out.select("instrument", F.unix_timestamp(F.col("timestamp").cast("timestamp")).alias("ts"), F.col("close").cast("double").alias("close"), "time_day_of_week", *map(rounded, ("roc_14", "sma_5", "std_dev_14")))
+
+
+def analyze_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = []
+    for series, one in _every_series(spark, sf_dir):
+        s = analyze(one, WIDE_SPACE, batch_rows=BATCH_ROWS)
+        heads = len(set(s.clusters.values()))
+        out += [(series, c, c in set(s.selected), heads) for c in s.columns]
+    return spark.createDataFrame(out, "instrument string, name string, selected boolean, clusters int")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = (
     {"candles_base": candles_base, "candle_slice": candle_slice}
     | {f: windowed_query(f) for f in WINDOWED}
@@ -179,6 +232,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = (
         "top_n": top_n,
         "export_head": export_query,
         "analyze": selection_query,
+        "p2_corr_all": p2_corr_all,
+        "p2_clusters_all": p2_clusters_all,
+        "export_head_all": export_all,
+        "analyze_all": analyze_all,
     }
 )
 
