@@ -93,9 +93,9 @@ def export_head(candles: DataFrame, columns: Sequence[str], space: FeatureSpace
 
 
 def export(spark: SparkSession, candles: DataFrame, selection: Selection, folder: str, space: FeatureSpace | None = None) -> None:
-    """Write ``tuning_features.txt`` and ``tuning_output_head.parquet`` below ``folder``."""
-    write_feature_list(spark, selection.columns, f"{folder}/tuning_features.txt")
-    write_parquet(export_head(candles, selection.columns, space), f"{folder}/tuning_output_head.parquet")
+    """Write ``selected_features.txt`` and ``selected_head.parquet`` below ``folder``."""
+    write_feature_list(spark, selection.columns, f"{folder}/selected_features.txt")
+    write_parquet(export_head(candles, selection.columns, space), f"{folder}/selected_head.parquet")
 
 
 def reports(selection: Selection) -> str:

@@ -130,11 +130,11 @@ def test_analyze_and_export(spark, sf_dir, tmp_path):
     assert s.selected and set(s.selected) <= set(space.names()) and s.columns == sorted(set(s.columns)) and set(S.BASE_COLUMNS) <= set(s.columns)
     assert all(space.index()[rep] <= space.index()[f] for f, rep in s.clusters.items())
     S.export(spark, one, s, f"file://{tmp_path}", space)
-    back = spark.read.parquet(f"file://{tmp_path}/tuning_output_head.parquet")
+    back = spark.read.parquet(f"file://{tmp_path}/selected_head.parquet")
     assert back.columns == s.columns and back.count() == min(500, s.clean_rows) and back.where(" or ".join(f"{c} is null" for c in back.columns)).count() == 0
     from candlewick.sources.sinks import read_feature_list
 
-    assert sorted(read_feature_list(spark, f"file://{tmp_path}/tuning_features.txt")) == s.columns
+    assert sorted(read_feature_list(spark, f"file://{tmp_path}/selected_features.txt")) == s.columns
     assert "stability" not in S.reports(s) and len(S.reports(s).splitlines()) > 10
     few = S.analyze(one, space, batch_rows=40, top=4)
     assert few.selected == s.selected[:4]
@@ -145,7 +145,7 @@ def test_no_clean_rows(spark, sf_dir, tmp_path):
     s = S.analyze(one, P.FeatureSpace(periods=(30,)))
     assert (s.selected, s.columns, s.clean_rows) == ([], [], 0) and S.reports(s) == ""
     S.export(spark, one, S.Selection([], ["close", "sma_30"]), f"file://{tmp_path}", P.FeatureSpace(periods=(30,)))
-    assert spark.read.parquet(f"file://{tmp_path}/tuning_output_head.parquet").count() == 0
+    assert spark.read.parquet(f"file://{tmp_path}/selected_head.parquet").count() == 0
 
 
 def test_full_period_range_needs_600_bars(spark):
