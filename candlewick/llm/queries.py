@@ -55,7 +55,7 @@ def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules(table(spark, sf_dir, "documents"))
+    return quality_rules(table(spark, sf_dir, "documents")).drop("failed_rules")
 
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,26 +75,28 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_warc": op10_warc,
 }
 
-#: One fence of the quality rules in SQL: metric, spreads, least spread, lower fence too.
-_FENCES = (("word_len_milli", 3.0, 1000, True), ("symbol_milli", 6.0, 8, False), ("dup_line_milli", 6.0, 100, False), ("repeat_milli", 6.0, 34, False))
+#: The fences of the quality rules in SQL: metric, percentile, lower fence too.
+_FENCES = (("word_len_milli", 90, True), ("symbol_milli", 75, False), ("dup_line_milli", 98, False), ("repeat_milli", 98, False))
 
 
 def _quality_sql() -> str:
+    level_of = "CASE metric " + " ".join(f"WHEN '{m}' THEN {percent}" for m, percent, _ in _FENCES) + " END"
+
     def level(name: str, keys: str) -> str:
         by = f"{keys}, " if keys else ""
-        # the least bucket at which the running count reaches each quarter
-        qs = ", ".join(f"min(bucket) FILTER (WHERE seen >= ceil(total * {q / 100})) AS q{q}" for q in (25, 50, 75))
+        # the least bucket at which the running count reaches the percentile
+        qs = ", ".join(f"min(bucket) FILTER (WHERE seen >= ceil(total * ({q}) / 100e0)) AS {part}" for part, q in (("mid", "50"), ("hi", level_of), ("lo", f"100 - {level_of}")))
         return (
-            f"{name}_m AS (SELECT {by}metric, bucket, sum(n) AS n FROM cells GROUP BY {by}metric, bucket), "
+            f"{name}_m AS (SELECT {by}metric, bucket, sum(n)::BIGINT AS n FROM cells GROUP BY {by}metric, bucket), "
             f"{name}_c AS (SELECT *, sum(n) OVER (PARTITION BY {by}metric ORDER BY bucket) AS seen, sum(n) OVER (PARTITION BY {by}metric) AS total FROM {name}_m), "
-            f"{name} AS (SELECT {by}metric, any_value(total) AS total, {qs} FROM {name}_c GROUP BY {by}metric)"
+            f"{name} AS (SELECT {by}metric, any_value(total)::DOUBLE AS total, {qs} FROM {name}_c GROUP BY {by}metric)"
         )
 
-    fences = ", ".join(
-        f"max(mid + {k} * greatest(spread, {least})) FILTER (WHERE metric = '{m}') AS {m}_hi" + (f", max(mid - {k} * greatest(spread, {least})) FILTER (WHERE metric = '{m}') AS {m}_lo" if low else "") for m, k, least, low in _FENCES
-    )
-    within = " AND ".join(f"r.{m} <= t.{m}_hi" + (f" AND r.{m} >= t.{m}_lo" if low else "") for m, _, _, low in _FENCES)
-    pick = lambda q: f"CASE WHEN g.total >= 200 THEN g.{q} WHEN l.total >= 200 THEN l.{q} ELSE a.{q} END"
+    lean = lambda own, prior: ", ".join(f"({own}.total * {own}.{c} + 200e0 * {prior}.{c}) / ({own}.total + 200e0) AS {c}" for c in ("mid", "hi", "lo"))
+    fences = ", ".join(f"max(mid + 4e0 * (hi - mid)) FILTER (WHERE metric = '{m}') AS {m}_hi" + (f", max(mid - 4e0 * (mid - lo)) FILTER (WHERE metric = '{m}') AS {m}_lo" if low else "") for m, _, low in _FENCES)
+    bucket = lambda v: f"CASE WHEN {v} < 128 THEN {v} ELSE ({v} >> (length(bin({v})) - 7)) << (length(bin({v})) - 7) END"
+    within = " AND ".join(f"({bucket(f'r.{m}')}) <= t.{m}_hi" + (f" AND ({bucket(f'r.{m}')}) >= t.{m}_lo" if low else "") for m, _, low in _FENCES)
+    bound = lambda n: f"floor(greatest({n} - 2e0 * sqrt({n}), 0) * 1000e0)::BIGINT"
     return f"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, lang, source, coalesce(text, '') AS t FROM documents),
 w AS (SELECT *, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS ws, string_split(t, chr(10)) AS ls FROM d),
@@ -109,21 +111,19 @@ b AS (
     coalesce(lines.n, 0) AS n_lines, coalesce(lines.n - lines.k, 0) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words
   FROM w LEFT JOIN lines USING (rid) LEFT JOIN rep USING (rid)),
 r AS (
-  SELECT *, word_chars * 1000 // greatest(n_words, 1) AS word_len_milli, n_symbols * 1000 // greatest(word_chars, 1) AS symbol_milli,
-    n_dup_lines * 1000 // greatest(n_lines, 1) AS dup_line_milli, n_repeat_words * 1000 // greatest(n_words, 1) AS repeat_milli FROM b),
-u AS (SELECT lang, source, unnest([{", ".join(f"{{'metric': '{m}', 'v': {m}}}" for m, *_ in _FENCES)}]) AS e FROM r),
+  SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+    word_chars * 1000 // greatest(n_words, 1) AS word_len_milli, {bound("n_symbols")} // greatest(word_chars, 1) AS symbol_milli,
+    {bound("n_dup_lines")} // greatest(n_lines, 1) AS dup_line_milli, {bound("n_repeat_words")} // greatest(n_words, 1) AS repeat_milli FROM b),
+u AS (SELECT lang, source, unnest([{", ".join(f"{{'metric': '{m}', 'v': {m}}}" for m, *_ in _FENCES)}]) AS e FROM r WHERE NOT base_failed),
 cells AS (
-  SELECT lang, source, e.metric AS metric, CASE WHEN e.v < 32 THEN e.v ELSE (e.v >> (length(bin(e.v)) - 5)) << (length(bin(e.v)) - 5) END AS bucket, count(*) AS n
+  SELECT lang, source, e.metric AS metric, {bucket('e.v')} AS bucket, count(*) AS n
   FROM u GROUP BY ALL),
 {level("g", "lang, source")}, {level("l", "lang")}, {level("a", "")},
-j AS (
-  SELECT g.lang, g.source, g.metric, {pick("q50")} AS mid, greatest({pick("q75")} - {pick("q50")}, {pick("q50")} - {pick("q25")}) AS spread
-  FROM g JOIN l ON g.lang IS NOT DISTINCT FROM l.lang AND g.metric = l.metric JOIN a ON g.metric = a.metric),
+h AS (SELECT l.lang, l.metric, {lean("l", "a")} FROM l JOIN a ON l.metric = a.metric),
+j AS (SELECT g.lang, g.source, g.metric, {lean("g", "h")} FROM g JOIN h ON g.lang IS NOT DISTINCT FROM h.lang AND g.metric = h.metric),
 t AS (SELECT lang, source, {fences} FROM j GROUP BY lang, source)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-  (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AS base_failed,
-  (NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND {within}) AS kept
-FROM r JOIN t ON r.lang IS NOT DISTINCT FROM t.lang AND r.source IS NOT DISTINCT FROM t.source
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND coalesce({within}, true) AS kept
+FROM r LEFT JOIN t ON r.lang IS NOT DISTINCT FROM t.lang AND r.source IS NOT DISTINCT FROM t.source
 """
 
 

@@ -28,7 +28,7 @@ def test_buckets(spark):
     from pyspark.sql import functions as F
 
     for r in spark.range(0, 5000).select("id", Q.bucket(F.col("id")).alias("b")).collect():
-        assert r.b <= r.id < r.b + max(1, r.b / 16) and (r.id >= 32 or r.b == r.id)
+        assert r.b <= r.id < r.b + max(1, r.b / 64 + 1e-9) and (r.id >= 128 or r.b == r.id)
 
 
 def test_operator_equals_sql_on_odd_rows(spark, make_docs, odd_docs):
@@ -50,3 +50,33 @@ def test_clean_documents_stay(spark):
     r = {x.quality: x for x in Q.quality_rules(docs).join(labels, "doc_id").groupBy("quality").agg({"*": "count", "kept": "max"}).collect()}
     kept = {x.quality: x["count"] for x in Q.quality_rules(docs).join(labels, "doc_id").where("kept").groupBy("quality").count().collect()}
     assert kept.get(1, 0) > 0.95 * r[1]["count(1)"] and kept.get(0, 0) < 0.1 * r[0]["count(1)"]
+
+
+def test_every_rule_decides_and_groups_differ(spark, make_docs):
+    """Two sources with their own habits: what is normal in one is out in the other."""
+    rnd = random.Random(4)
+    word = lambda lo, hi: "".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(lo, hi)))
+    prose = lambda n, lo=3, hi=7: [word(lo, hi) for _ in range(n)]
+    rows = [(i, " ".join(prose(200)), "en", "plain") for i in range(400)]
+    # the coded source has symbols everywhere, lines that repeat, and phrases that do
+    for i in range(400, 800):
+        phrase, lines = prose(rnd.randint(6, 9), 8, 16), [" ".join(prose(4, 8, 16)) for _ in range(60)]
+        lines += rnd.sample(lines, rnd.randint(8, 16))
+        rnd.shuffle(lines)
+        text = " ".join([*phrase, *prose(200, 8, 16), *phrase]) + " " + "#" * rnd.randint(60, 90) + "\n" + "\n".join(lines)
+        rows.append((i, text, "en", "coded"))
+    short = [" ".join(prose(2)) for _ in range(20)] * 3 + [" ".join(prose(9)) for _ in range(30)]
+    rnd.shuffle(short)
+    odd = {900: " ".join(prose(200)) + " " + "#" * 70, 901: " ".join(prose(200, 12, 18)), 902: "\n".join(short), 903: " ".join([*prose(190), *prose(22) * 2])}
+    rows += [(i, t, "en", "plain") for i, t in odd.items()]
+    out = {r.doc_id: r for r in Q.quality_rules(make_docs(rows)).collect()}
+    assert [out[i].failed_rules for i in (900, 901, 902)] == [["symbol_milli"], ["word_len_milli"], ["dup_line_milli"]]
+    assert out[903].failed_rules == ["repeat_milli"] and not out[903].base_failed
+    assert sum(out[i].kept for i in range(400)) >= 390 and sum(out[i].kept for i in range(400, 800)) >= 390
+
+
+def test_small_groups_lean_on_the_merged_sketch(spark, make_docs):
+    rows = [(i, " ".join("w" * (4 + (i + j) % 5) + str(j) for j in range(60)), "en", "large") for i in range(300)]
+    rows += [(300, " ".join("w" * 30 + str(j) for j in range(60)), "en", "one")]
+    out = {r.doc_id: r for r in Q.quality_rules(make_docs(rows)).collect()}
+    assert not out[300].kept and all(out[i].kept for i in range(300))
