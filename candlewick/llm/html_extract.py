@@ -2,12 +2,17 @@
 
 A page becomes a list of text blocks in page order. A linear classifier gives each block a score,
 positive for content; its size is the capacity of the edge to the content or boilerplate terminal.
-Blocks next to each other, and consecutive blocks of one parent element, are joined by edges whose
-capacity falls with their distance in the element tree. A minimum cut labels the blocks: it is the
-labelling with the least total of terminal and joining capacity cut.
+Length, sentences, links and the block's own element say little of short blocks, headings and list
+items; what elements around it say (article, nav, class names) adds up along the path. Blocks next
+to each other, and consecutive blocks of one parent element, are joined by edges whose capacity
+falls with their distance in the element tree and with the difference of what the elements around
+them say. A minimum cut labels the blocks: it is the labelling with the least total of terminal and
+joining capacity cut, so a short line goes with the blocks that it stands among.
 
 Blocks whose score outweighs all their joining edges are labelled first and their edges folded into
-their neighbours' scores, which keeps the minimum; maximum flow (Dinic) settles the rest.
+their neighbours' scores, which keeps the minimum; maximum flow (Dinic) settles the rest. A page on
+which nothing is content is labelled again without the hints (class names that article pages use too)
+and with content elements counting double.
 
 Defined cases: null or empty html gives the empty text; a page without content blocks too; broken
 markup is read as far as it goes (unclosed elements end with the page, an unclosed comment, script
@@ -29,9 +34,8 @@ from pyspark.sql import functions as F
 from .shared import bound_batches, text_bytes
 
 _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
-_ATTRS = re.compile(r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+>""")
-#: How far a start tag whose quotes do not match up is searched for its end.
-TAG_REACH = 8192
+_MARK = re.compile(r"[>=]")
+_BLANK = re.compile(r"\s*")
 _ATTR = re.compile(r"""([a-zA-Z_:-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 _WORD = re.compile(r"[a-z]+")
 _STOP = re.compile(r"[.!?](?:\s|$)")
@@ -48,29 +52,33 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CHROME_TAGS = frozenset("nav footer aside form dialog menu head".split())
 CONTENT_TAGS = frozenset(("article", "main"))
 CHROME_WORDS = frozenset(
-    "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs byline captcha comment comments consent cookie cookies copyright disclaimer discussion disqus footer form gdpr "
-    "header legal login masthead menu menubar modal nav navbar navigation newsletter notice notification notifications overlay pager pagination popup promo promoted promotion "
-    "related replies reply reviews search share sharing sidebar signup social sponsor sponsored subscribe subscription tags teaser toolbar widget alert announcement contentinfo complementary".split()
+    "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs byline captcha comment comments consent cookie cookies disqus footer form gdpr "
+    "login masthead menu menubar modal nav navbar navigation newsletter pager pagination popup promo promoted promotion "
+    "related share sharing sidebar signup social sponsor sponsored subscribe subscription toolbar widget contentinfo complementary".split()
 )
+#: Words that sections of articles are called by as well.
+HINT_WORDS = frozenset("alert announcement copyright disclaimer discussion header legal notice notification notifications overlay replies reply review reviews search tags teaser".split())
 CONTENT_WORDS = frozenset("article body content entry main post story text".split())
 
 # Weights of the classifier and of the joining edges.
-CHROME_COST, CHROME_HARD, CONTENT_GAIN = -5.0, -9.0, 3.0
-PARAGRAPH, HEADING, LIST_ITEM, LINKS, LENGTH, SENTENCE, BASE = 1.0, 0.6, -0.8, -4.0, 0.45, 0.5, -1.2
-ADJACENT, SIBLING = 0.5, 0.4
+CHROME, HINT, CONTENT = -6.0, -2.0, 0.6
+PARAGRAPH, HEADING, LIST_ITEM, LINKS, LENGTH, SENTENCE, BASE = 0.5, 0.3, -0.3, -4.0, 0.6, 0.4, -1.6
+ADJACENT, SIBLING = 1.0, 0.8
 
 
 class _Open:
-    """An open element and what it means for text inside."""
+    """An open element and what it and those around it say of text inside: ``cost``, of which
+    ``hint`` is from hints."""
 
-    __slots__ = ("tag", "cost", "last", "hidden")
+    __slots__ = ("tag", "cost", "hint", "last", "hidden")
 
-    def __init__(self, tag: str, cost: float, hidden: bool) -> None:
-        self.tag, self.cost, self.last, self.hidden = tag, cost, -1, hidden
+    def __init__(self, tag: str, cost: float, hint: float, hidden: bool) -> None:
+        self.tag, self.cost, self.hint, self.last, self.hidden = tag, cost, hint, -1, hidden
 
 
-def _cue(tag: str, attrs: str, outer: float) -> tuple[float, bool]:
-    """(score that text inside starts from, hidden) of an element in one with score ``outer``."""
+def _cue(tag: str, attrs: str, around: _Open) -> tuple[float, float, bool]:
+    """(cost, hint, hidden) of an element inside ``around``. Content counts once on a path; chrome
+    inside content takes back what content gave."""
     words: set[str] = set()
     hidden = False
     if attrs.strip():
@@ -82,25 +90,43 @@ def _cue(tag: str, attrs: str, outer: float) -> tuple[float, bool]:
             elif key == "aria-hidden" and value.lower() == "true" or key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
                 hidden = True
         hidden = hidden or bool(re.search(r"(?:^|\s)hidden(?:\s|$|=)", attrs.lower()) and "aria-hidden" not in attrs.lower())
-    if tag in CHROME_TAGS:
-        return CHROME_HARD, hidden
-    if tag == "body" or tag == "html":
-        return outer, hidden
-    inside = outer >= CONTENT_GAIN
-    if tag == "header":
-        return (outer - 1.0 if inside else CHROME_HARD), hidden
-    if words & CHROME_WORDS and not words & CONTENT_WORDS:
-        return min(outer, CHROME_COST), hidden
-    if (tag in CONTENT_TAGS or words & CONTENT_WORDS) and not words & CHROME_WORDS:
-        return (CONTENT_GAIN if outer > CHROME_COST else outer), hidden
-    return outer, hidden
-
-
-def parse_blocks(page: str) -> tuple[list[str], list[float], list[tuple[int, int, float]]]:
-    """(texts, scores, edges) of a page; edges are (block, later block, capacity)."""
-    stack = [_Open("", 0.0, False)]
+    cost, hint = around.cost, around.hint
+    if tag in ("body", "html"):
+        return cost, hint, hidden
+    content = tag in CONTENT_TAGS or bool(words & CONTENT_WORDS)
+    if tag in CHROME_TAGS or tag == "header" and cost < CONTENT or words & CHROME_WORDS and not words & CONTENT_WORDS:
+        return min(cost, 0.0) + CHROME, hint, hidden
+    if (words & HINT_WORDS or tag == "header") and not hint:
+        cost, hint = cost + HINT, HINT
+    if content and cost - hint == 0.0:
+        cost += CONTENT
+    return cost, hint, hidden
+
+
+def _tag_end(page: str, at: int, open_quotes: dict[str, int]) -> int:
+    """Where the start tag whose attributes begin at ``at`` ends, or -1. A quote directly after "="
+    runs to its like; one without (its place is kept in ``open_quotes``) is an ordinary character."""
+    while m := _MARK.search(page, at):
+        if m[0] == ">":
+            return m.end()
+        at = _BLANK.match(page, m.end()).end()
+        quote = page[at : at + 1]
+        if quote in open_quotes and at < open_quotes[quote]:
+            close = page.find(quote, at + 1)
+            if close < 0:
+                open_quotes[quote] = at
+            at = max(close, at) + 1
+    return -1
+
+
+def parse_blocks(page: str) -> tuple[list[str], list[float], list[float], list[tuple[int, int, float]]]:
+    """(texts, scores, what a second labelling adds to them, edges) of a page; edges are (block, later block, capacity)."""
+    stack = [_Open("", 0.0, 0.0, False)]
     texts: list[str] = []
     scores: list[float] = []
+    second: list[float] = []
+    costs: list[float] = []
+    open_quotes = {'"': len(page), "'": len(page)}
     edges: dict[tuple[int, int], float] = {}
     pieces: list[str] = []
     links = link_chars = hidden = low = 0
@@ -126,13 +152,15 @@ def parse_blocks(page: str) -> tuple[list[str], list[float], list[tuple[int, int
         i = len(texts)
         texts.append(text)
         scores.append(score)
+        second.append(CONTENT * (at.cost - at.hint > 0.0) - at.hint)
+        costs.append(at.cost)
         if i:  # to the block before, by steps up to the common element and down again
             steps = max(0, previous_depth - low) + max(0, top - low)
-            edges[i - 1, i] = ADJACENT / max(1, steps - 1)
+            edges[i - 1, i] = ADJACENT / max(1, steps - 1) / (1.0 + abs(costs[i - 1] - at.cost))
         parent = stack[max(top - 1, 0)]
         if parent.last >= 0:
             key = (parent.last, i)
-            edges[key] = edges.get(key, 0.0) + SIBLING
+            edges[key] = edges.get(key, 0.0) + SIBLING / (1.0 + abs(costs[parent.last] - at.cost))
         parent.last = i
         mark(top)
 
@@ -175,10 +203,11 @@ def parse_blocks(page: str) -> tuple[list[str], list[float], list[tuple[int, int
         if not m:
             continue
         attrs = page[m.end() : at - 1]
-        if attrs.count('"') % 2 or attrs.count("'") % 2:
-            if whole := _ATTRS.match(page, m.end(), m.end() + TAG_REACH):
-                at = whole.end()
-                attrs = page[m.end() : at - 1]
+        if '"' in attrs or "'" in attrs:
+            at = _tag_end(page, m.end(), open_quotes)
+            if at < 0:
+                break
+            attrs = page[m.end() : at - 1]
         tag = m[1].lower()
         if page[start + 1] == "/":
             if tag in VOID:
@@ -214,13 +243,13 @@ def parse_blocks(page: str) -> tuple[list[str], list[float], list[tuple[int, int
                     break
         if attrs.endswith("/") and tag in INLINE:
             continue
-        cost, hide = _cue(tag, attrs, stack[-1].cost)
-        stack.append(_Open(tag, cost, hide))
+        cost, hint, hide = _cue(tag, attrs, stack[-1])
+        stack.append(_Open(tag, cost, hint, hide))
         opened[tag] = opened.get(tag, 0) + 1
         links += tag == "a"
         hidden += hide
     flush()
-    return texts, scores, [(a, b, c) for (a, b), c in edges.items()]
+    return texts, scores, second, [(a, b, c) for (a, b), c in edges.items()]
 
 
 def max_flow(n: int, source: int, sink: int, arcs: list[tuple[int, int, float, float]]) -> list[bool]:
@@ -307,10 +336,18 @@ def min_cut(scores: list[float], edges: list[tuple[int, int, float]]) -> list[bo
     return [bool(x) for x in label]
 
 
+def content_blocks(scores: list[float], second: list[float], edges: list[tuple[int, int, float]]) -> list[bool]:
+    """The cut's labels; of a page without content, those of a second labelling."""
+    labels = min_cut(scores, edges)
+    if not any(labels) and any(second):
+        labels = min_cut([a + b for a, b in zip(scores, second, strict=True)], edges)
+    return labels
+
+
 def extract_text(page: str) -> str:
     """Content blocks of a page, joined by two line feeds."""
-    texts, scores, edges = parse_blocks(page)
-    return "\n\n".join(t for t, content in zip(texts, min_cut(scores, edges), strict=True) if content)
+    texts, scores, second, edges = parse_blocks(page)
+    return "\n\n".join(t for t, content in zip(texts, content_blocks(scores, second, edges), strict=True) if content)
 
 
 def _extract(pages: pa.Array) -> pa.Array:
