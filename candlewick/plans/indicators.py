@@ -14,6 +14,7 @@ from ..functions import frames as W
 from ..operators.kernels import FAMILY_OF
 from ..operators.recursive import RECURSIVE, add_recursive
 from ..operators.windowed import FAMILIES, add_windowed
+from ..storage import ready_checkpoints
 
 CHUNK_ROWS = 200_000
 
@@ -42,9 +43,7 @@ def indicators(bars: DataFrame, wanted: dict[str, list[int]]) -> DataFrame:
 
 def numbered(bars: DataFrame, partitions: int) -> DataFrame:
     """Adds rn and n without a task that sees a whole series: a range sort, and offsets of its runs."""
-    spark = bars.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", "/tmp/candlewick-checkpoints"))
+    ready_checkpoints(bars.sparkSession)
     order = [*W.KEYS, W.ORDER]
     df = bars.repartitionByRange(partitions, *order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()).checkpoint()
     df = df.withColumn("_run", F.shiftright("_at", 33))

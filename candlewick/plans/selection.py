@@ -12,6 +12,7 @@ from ..functions.frames import ORDER
 from ..operators import correlation, ranking, screening
 from ..sources.candles import BASE_COLUMNS, base_table, bars
 from ..sources.sinks import write_feature_list, write_parquet
+from ..storage import ready_checkpoints
 from .features import FeatureSpace, cells, complete_rows, next_return, packed_features, wide_features
 
 EXPORT_LIMIT = 500
@@ -50,8 +51,7 @@ def analyze(candles: DataFrame, space: FeatureSpace | None = None, batch_rows: i
     """
     space = space or FeatureSpace()
     spark = candles.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", "/tmp/candlewick-checkpoints"))
+    ready_checkpoints(spark)
     packed = packed_features(bars(candles), space).checkpoint()
     each = cells(packed, space)
     quality = screening.screen(each).checkpoint()
