@@ -3,8 +3,9 @@
 Subwords are byte 3- and 4-grams of the lower-cased text with anything but letters as one
 separator; a separator may stand only at either end, as a word's edge. Their hashes index an
 embedding table; a text is the mean of its embeddings, and a linear layer with a softmax follows.
-Training is stochastic gradient descent in numpy on a bounded sample (SAMPLE_PER_LANG windows per
-language, TRAIN_CHARS characters each, plus a short piece of each); prediction reads whole texts.
+Training is stochastic gradient descent in numpy on a bounded sample (about SAMPLE_PER_LANG whole
+texts per language, plus a short piece of each); their subwords are counted where the texts are, so
+that at most BUCKETS counts of each come to the driver. Prediction reads whole texts.
 As mean and layer are linear, the table is stored as one row of logits per hash.
 
 A temperature fitted on held-back sample texts calibrates the probabilities. The rejection level is
@@ -18,6 +19,7 @@ repeated rows count each; an empty table gives no rows; other columns do not mat
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,7 +33,6 @@ BUCKETS = 1 << 16
 DIM = 16
 GRAMS = (3, 4)
 SAMPLE_PER_LANG = 1200
-TRAIN_CHARS = 4000
 PIECE = 60
 EPOCHS = 5
 RATE = 0.6
@@ -104,15 +105,25 @@ class Model:
 
 def _bag(text: bytes) -> tuple[np.ndarray, np.ndarray] | None:
     clean = _CLEAN[np.frombuffer(b" " + text + b" ", dtype=np.uint8)]
-    h = np.concatenate([gram_hashes(clean, n)[1] for n in GRAMS])
-    if not len(h):
-        return None
-    u, c = np.unique(h, return_counts=True)
-    return u, (c / c.sum()).astype(np.float32)
+    counts = np.zeros(BUCKETS, dtype=np.int64)
+    for at in range(0, len(clean), CHUNK):
+        for n in GRAMS:
+            counts += np.bincount(gram_hashes(clean[at : at + CHUNK + n - 1], n)[1], minlength=BUCKETS)
+    u = np.flatnonzero(counts)
+    return (u, (counts[u] / counts[u].sum()).astype(np.float32)) if len(u) else None
 
 
-def fit(texts: list[str], labels: list[str], seed: int = 7) -> Model:
-    """Train on lower-cased texts and their languages."""
+def bags(text: bytes) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The subword shares of a lower-cased text, and of a piece of it that its bytes choose."""
+    out = [_bag(text)]
+    if len(text) > 2 * PIECE:
+        at = zlib.crc32(text) % (len(text) - PIECE)
+        out.append(_bag(text[at : at + PIECE]))
+    return [b for b in out if b is not None]
+
+
+def fit(samples: list[list[tuple[np.ndarray, np.ndarray]]], labels: list[str], seed: int = 7) -> Model:
+    """Train on the bags of texts and their languages."""
     langs = sorted(set(labels))
     k = len(langs)
     if k < 2:
@@ -120,14 +131,8 @@ def fit(texts: list[str], labels: list[str], seed: int = 7) -> Model:
     rng = np.random.default_rng(seed)
     index = {x: i for i, x in enumerate(langs)}
     train, held = [], []
-    for i, (text, lang) in enumerate(zip(texts, labels, strict=True)):
-        pieces = [text]
-        if len(text) > 2 * PIECE:
-            at = int(rng.integers(0, len(text) - PIECE))
-            pieces.append(text[at : at + PIECE])
-        for x in pieces:
-            if (bag := _bag(x.encode())) is not None:
-                (held if i % 5 == 0 else train).append((*bag, index[lang]))
+    for i, (sample, lang) in enumerate(zip(samples, labels, strict=True)):
+        (held if i % 5 == 0 else train).extend((u, c, index[lang]) for u, c in sample)
     emb = rng.uniform(-1 / DIM, 1 / DIM, (BUCKETS, DIM)).astype(np.float32)
     out, bias = np.zeros((DIM, k), np.float32), np.zeros(k, np.float32)
     steps, done = EPOCHS * len(train), 0
@@ -168,12 +173,21 @@ def train(docs: DataFrame, sample_per_lang: int = SAMPLE_PER_LANG) -> Model:
     share = F.lit(0)
     for r in counts:
         share = F.when(F.col("lang") == r["lang"], int(space * min(1.0, sample_per_lang / r["count"]))).otherwise(share)
-    picked = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(space)) < share)
-    start = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.greatest(F.length("text") - TRAIN_CHARS, F.lit(1))).cast("int")
-    picked = picked.select("doc_id", "lang", F.lower(F.substring(F.coalesce("text", F.lit("")), start + 1, F.lit(TRAIN_CHARS))).alias("t"))
-    got = sorted(((r.lang, -1 if r.doc_id is None else r.doc_id, r.t) for r in picked.toLocalIterator()))
+    # by id and text: rows without an id are drawn like others
+    picked = rows.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(space)) < share)
+    text = F.lower(F.coalesce("text", F.lit(""))).cast("binary")
+
+    def read(texts: pa.Array) -> pa.Array:
+        made = [bags(b" " + x.as_py() + b" ") for x in texts]
+        return pa.array([[{"u": u.astype("<u4").tobytes(), "c": c.astype("<f4").tobytes()} for u, c in m] for m in made], pa.list_(pa.struct([("u", pa.binary()), ("c", pa.binary())])))
+
+    # equal rows are drawn together; one of them is learned from
+    got = picked.groupBy("lang", "doc_id", F.xxhash64("text").alias("h")).agg(F.min(text).alias("t"))
+    got = got.select("lang", "doc_id", "h", F.arrow_udf(read, "array<struct<u:binary,c:binary>>")("t").alias("bags"))
+    got = sorted(((r.lang, -1 if r.doc_id is None else r.doc_id, r.h, r.bags) for r in got.toLocalIterator()), key=lambda r: r[:3])
+    samples = [[(np.frombuffer(bytes(b.u), "<u4").astype(np.int64), np.frombuffer(bytes(b.c), "<f4")) for b in r[3]] for r in got]
     order = np.random.default_rng(1).permutation(len(got))
-    return fit([got[i][2] for i in order], [got[i][0] for i in order])
+    return fit([samples[i] for i in order], [got[i][0] for i in order])
 
 
 def predictor(docs: DataFrame, model: Model):

@@ -2,41 +2,27 @@
 batches and tolerant column access.
 
 Lineage is cut with Parquet tables in the shared folder named by ``spark.checkpoint.dir``
-(a local one only where that setting is unset), so a lost executor costs a re-read.
+(a local one only where that setting is unset and the master is local), so a lost executor costs a
+re-read. What operators leave there is removed when the driver ends.
 """
 
 from __future__ import annotations
 
 import atexit
-import shutil
-import tempfile
 import uuid
-from collections.abc import Callable, Iterable
+from collections.abc import Callable
+from contextlib import suppress
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..shipping import ship
+from ..storage import shared_root
 
 #: Rows and bytes of one Arrow batch between the JVM and Python.
 BATCH_ROWS = 2048
 BATCH_BYTES = 16 << 20
 
-_own_dir: str | None = None
-
-
-def shared_root(spark: SparkSession) -> str:
-    """The shared folder of this session; a temporary one, removed at exit, if none is set."""
-    global _own_dir
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if _own_dir is None:
-        _own_dir = tempfile.mkdtemp(prefix="candlewick-")
-        atexit.register(shutil.rmtree, _own_dir, ignore_errors=True)
-    return f"file://{_own_dir}"
-
-
 def _delete(spark: SparkSession, path: str) -> None:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
@@ -48,6 +34,11 @@ class Scratch:
     def __init__(self, spark: SparkSession, label: str) -> None:
         self.spark = spark
         self.base = f"{shared_root(spark)}/candlewick/{label}-{uuid.uuid4().hex[:12]}"
+        atexit.register(self._at_exit)
+
+    def _at_exit(self) -> None:
+        with suppress(Exception):  # the session may have ended before
+            self.drop_all()
 
     def path(self, name: str) -> str:
         return f"{self.base}/{name}"
@@ -100,12 +91,3 @@ def text_bytes(name: str = "text") -> Column:
 def fold(name: str, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus``; a null id counts as the empty text."""
     return F.pmod(F.crc32(F.coalesce(F.col(name).cast("string"), F.lit("")).cast("binary")), F.lit(modulus))
-
-
-def same(left: DataFrame, right: DataFrame, keys: Iterable[str]) -> Column:
-    """Null-safe equality of the key columns of both sides."""
-    out = None
-    for key in keys:
-        one = left[key].eqNullSafe(right[key])
-        out = one if out is None else out & one
-    return out

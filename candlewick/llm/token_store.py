@@ -10,8 +10,9 @@ leave no partial files:
 
 The index columns are read without the data. Shards hold consecutive ranges of doc_id in ascending
 order (null first), so a document is found by its block's range, its offset and the frame there.
-The dictionary is trained on the ids of a bounded, documented sample (DICT_SAMPLE documents with
-the smallest hash of their id); it changes sizes, never contents. Ids are little-endian unsigned,
+The dictionary is trained on the whole ids of a bounded, documented sample (of the DICT_SAMPLE
+documents with the smallest hash of their id, those of up to DICT_TEXT bytes; it serves short ones);
+it changes sizes, never contents. Ids are little-endian unsigned,
 2 bytes if the vocabulary allows it, else 4.
 
 Defined cases: null or empty text is the end id alone; rows repeating a doc_id are stored each, in
@@ -30,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .shared import Scratch, bound_batches, register_cache, text_bytes
@@ -38,8 +39,8 @@ from .shared import Scratch, bound_batches, register_cache, text_bytes
 TOKENIZER_FILE = "word_bpe_49k.json"
 END_ID = 1
 DICT_SAMPLE = 512
-#: Most bytes of one document's ids that the dictionary is trained on, and the dictionary's size.
-DICT_PIECE = 16 << 10
+#: The longest text that the dictionary is trained on, in bytes, and the dictionary's size.
+DICT_TEXT = 64 << 10
 DICT_BYTES = 64 << 10
 LEVEL = 3
 BLOCK_BYTES = 1 << 20
@@ -53,6 +54,12 @@ _CLOSING = re.compile(rb"(?:(?<=[a-z])|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]))([
 #: Letters (here all of 80-FF too), white space, closing marks and the rest.
 _KINDS = bytes(97 if chr(c).isalpha() and c < 128 or c >= 0x80 else 32 if c == 32 or 9 <= c <= 13 else 46 if chr(c) in ".,;:!?" else 120 for c in range(256))
 
+#: Texts that tell whether a vocabulary reads across white space, keeps case or splits marks otherwise.
+PROBE = [
+    t.encode()
+    for t in ("The quick Brown fox, it said: jumps! (over) 12 dogs; 3.14 and well-known e.g. x_y.\nNew line.\tTab  two  spaces ", " Ünïcode Wörter, ÀÉ ß × ÷ ¿qué? «non».", "中文 字符, 🙂 ok. don't I'LL", "a", "", " ")
+]
+
 BLOCK_SCHEMA = "shard int, block int, dict_hash string, first_id bigint, last_id bigint, doc_ids array<bigint>, offsets array<bigint>, sizes array<int>, n_tokens array<bigint>, starts array<bigint>, data binary"
 
 
@@ -68,7 +75,8 @@ class Encoder:
     are remembered as the bytes of their ids. In texts without characters beyond U+00FF, where no
     mark can combine with a letter, ASCII is lower-cased and a closing mark after a letter split off
     first, as the normalizer and the splitter would. Letters-only pieces, each of which ends with
-    one word-end id, are encoded many at a time."""
+    one word-end id, are encoded many at a time. Whether a vocabulary is of this kind is tried on
+    PROBE when it is read; with others, texts are encoded as a whole."""
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
@@ -80,6 +88,8 @@ class Encoder:
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.memo: dict[bytes, bytes] = {}
+        self.by_pieces = self._by_pieces(PROBE) == self._each([p.decode() for p in PROBE])
+        self.memo.clear()
 
     def _each(self, pieces: list[str]) -> list[bytes]:
         got = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
@@ -120,6 +130,11 @@ class Encoder:
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each whole text, without an end id."""
+        if not self.by_pieces:
+            return self._each([t.decode("utf-8", "replace") for t in texts])
+        return self._by_pieces(texts)
+
+    def _by_pieces(self, texts: list[bytes]) -> list[bytes]:
         if len(self.memo) > MEMO_PIECES:
             self.memo.clear()
         memo = self.memo
@@ -151,8 +166,9 @@ def train_dictionary(docs: DataFrame, path: str, sample: int = DICT_SAMPLE) -> b
     chosen = [r.doc_id for r in few.collect()]
     if not chosen:
         return b""
-    rows = docs.where(F.col("doc_id").isin(chosen)).select("doc_id", text_bytes().alias("b")).limit(4 * sample)
-    ids = encoder(path).encode([b for _, b in sorted((r.doc_id, bytes(r.b)[:DICT_PIECE]) for r in rows.toLocalIterator())])
+    rows = docs.where(F.col("doc_id").isin(chosen)).select("doc_id", text_bytes().alias("b")).where(F.octet_length("b") <= DICT_TEXT)
+    rows = rows.groupBy("doc_id").agg(F.min("b").alias("b"))  # of rows that share an id the same one in each run
+    ids = encoder(path).encode([b for _, b in sorted((r.doc_id, bytes(r.b)) for r in rows.toLocalIterator())])
     ids = [x for x in ids if len(x) >= 8]
     if len(ids) < 16:
         return b""
@@ -220,13 +236,20 @@ def write_store(docs: DataFrame, path: str, tokenizer: str | None = None, end_id
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
     # bounds of the shards from the ids alone; a range partitioner would read the texts for its sample
     cuts = ids.agg(F.percentile_approx("doc_id", [k / n for k in range(1, n)], 100 * n)).first()[0] if n > 1 else None
-    bounds = F.array(*map(F.lit, sorted(set(cuts or [])))).cast("array<bigint>")
-    shard = F.coalesce(F.size(F.filter(bounds, lambda b: b < F.col("doc_id"))), F.lit(0))
+    shard = _below(sorted(set(cuts or [])), 0)
     ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("b")).withColumn("s", F.when(F.col("doc_id").isNull(), 0).otherwise(shard))
     ordered = ordered.repartitionById(n, "s").drop("s").sortWithinPartitions("doc_id")
     ordered.mapInArrow(run, BLOCK_SCHEMA).write.mode("overwrite").option("compression", "none").parquet(f"{path}/blocks")
 
 
+def _below(bounds: list[int], at: int) -> Column:
+    """``at`` and how many of the sorted bounds are under doc_id, by halving."""
+    if not bounds:
+        return F.lit(at)
+    half = len(bounds) // 2
+    return F.when(F.col("doc_id") > bounds[half], _below(bounds[half + 1 :], at + half + 1)).otherwise(_below(bounds[:half], at))
+
+
 def read_index(spark: SparkSession, path: str) -> DataFrame:
     """The offset index: one row per document with its shard, block, offset, size and first token."""
     b = spark.read.parquet(f"{path}/blocks")

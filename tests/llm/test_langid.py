@@ -1,3 +1,5 @@
+import zlib
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -50,3 +52,41 @@ def test_nothing_and_one_language_to_learn(make_docs):
     rows = [(i, "only this language here", "en", "a") for i in range(9)]
     assert {r.lang_pred for r in L.identify(make_docs(rows)).collect()} == {"en"}
     assert L.identify(make_docs([])).count() == 0 and L.accept(make_docs([])).count() == 0
+
+
+def plain_bag(text):
+    """Shares of the 3- and 4-grams by definition, through the one hash of a single gram."""
+    clean = bytes(L._CLEAN[np.frombuffer(b" " + text + b" ", dtype=np.uint8)])
+    counts = {}
+    for n in L.GRAMS:
+        for i in range(len(clean) - n + 1):
+            gram = clean[i : i + n]
+            if b" " not in gram[1:-1]:
+                b = int(L.gram_hashes(np.frombuffer(gram, dtype=np.uint8), n)[1][0])
+                counts[b] = counts.get(b, 0) + 1
+    return {b: c / sum(counts.values()) for b, c in counts.items()}
+
+
+def test_bags_and_predictions_against_the_definition(monkeypatch):
+    rng = np.random.default_rng(3)
+    m = L.Model(["a", "b", "c"], rng.normal(size=(L.BUCKETS, 3)).astype(np.float32), rng.normal(size=3), 0.7, 0.0)
+    texts = [bytes(rng.choice(list(b"abcdefg  "), int(n))) for n in (4, 30, 200, 900)]
+    data = [b" " + t + b" " for t in texts]
+    best, score = m.predict(np.frombuffer(b"".join(data), dtype=np.uint8), np.cumsum([0] + [len(d) for d in data]))
+    monkeypatch.setattr(L, "CHUNK", 50)
+    for t, k, s in zip(texts, best, score, strict=True):
+        want = plain_bag(t)
+        u, c = L._bag(t)
+        assert dict(zip(u.tolist(), c.tolist())) == {b: np.float32(x) for b, x in want.items()}
+        z = (sum(x * m.logits[b].astype(float) for b, x in plain_bag(t).items()) + m.bias) / 0.7
+        p = np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+        assert k == p.argmax() and abs(s - p.max()) < 1e-6
+
+
+def test_rows_without_ids_and_copies_are_drawn_like_others(make_docs, monkeypatch):
+    seen = []
+    monkeypatch.setattr(L, "fit", lambda samples, labels: seen.append((len(samples), len(labels))))
+    L.train(make_docs([(None, f"words of text {i} {i * i}", "en", "a") for i in range(400)]), 40)
+    open_id = next(i for i in range(1, 9) if zlib.crc32(str(i).encode()) % 3 != 1)
+    L.train(make_docs([(open_id, "the very same text", "en", "a")] * 400), 400)
+    assert 15 < seen[0][0] < 80 and seen[1] == (1, 1)

@@ -48,3 +48,31 @@ def test_short_access_and_index(spark, sf_dir):
 
 def test_empty(make_docs):
     assert token_store(make_docs([])).collect() == []
+
+
+def test_other_vocabularies_are_encoded_whole():
+    import glob
+    import os
+
+    from tokenizers import Tokenizer
+
+    texts = ["The quick Brown fox, it said: 12 dogs.", "  two  spaces\tand é. ", "", "中文 ok"]
+    others = [f for f in glob.glob(os.path.join(os.path.dirname(tokenizer_path()), "*.json")) if f != tokenizer_path()]
+    for path in others:
+        try:
+            t = Tokenizer.from_file(path)
+        except Exception:  # another kind of file
+            continue
+        enc = Encoder(path)
+        assert [np.frombuffer(x, dtype=enc.dtype).tolist() for x in enc.encode([x.encode() for x in texts])] == [e.ids for e in t.encode_batch(texts, add_special_tokens=False)], path
+    assert Encoder(tokenizer_path()).by_pieces
+
+
+def test_shards_by_halving(spark):
+    from pyspark.sql import functions as F
+
+    from candlewick.llm.token_store import _below
+
+    for bounds in ([], [5], [1, 4, 9, 9000], list(range(0, 300, 7))):
+        for r in spark.range(0, 320).select(F.col("id").alias("doc_id")).select("doc_id", _below(bounds, 0).alias("s")).collect():
+            assert r.s == sum(b < r.doc_id for b in bounds)
