@@ -55,6 +55,8 @@ PIECE = 1 << 20
 POLL = 128
 #: Members apart from the rest that a large node compares with all others.
 STRAYS = 1
+#: Tasks that the members of one large node are dealt to where they meet their node's row.
+SALTS = 16
 #: Counters of the sketch that orders shingles by how common they are; it steers cost, not results.
 COUNTERS = 1 << 20
 
@@ -186,13 +188,21 @@ def _consensus(col: pa.Array) -> pa.Array:
     return pa.array(out, pa.binary())
 
 
+def _join_node(members: DataFrame, nodes: DataFrame, node: str) -> DataFrame:
+    """``members`` (key, rep, ...) with the row of their node: there are few of those, of which each
+    salt gets a copy, so that a node of very many members is not one task's work."""
+    copies = nodes.withColumn("n_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    dealt = members.withColumn("m_salt", F.pmod(F.xxhash64("rep"), F.lit(SALTS)))
+    return dealt.join(copies, (F.col("key") == F.col(node)) & (F.col("m_salt") == F.col("n_salt"))).drop("m_salt", "n_salt")
+
+
 def _with_medoid(large: DataFrame, classes: DataFrame, scratch: Scratch) -> DataFrame:
     """(m_key, medoid) of each large node. The commonest tokens come from about POLL members, which
     only steers the choice; every member is held against them, in one map-side combined maximum."""
     told = scratch.cut(large.join(classes.withColumnRenamed("rep", "t_rep"), F.col("rep") == F.col("t_rep")).select("key", "rep", "size", "tokens"), "told")
     polled = told.where(F.pmod(F.xxhash64("rep", "key", F.lit("poll")), F.ceil(F.col("size") / POLL)) == 0)
     polls = polled.groupBy("key").agg(F.collect_list("tokens").alias("ts")).select(F.col("key").alias("p_key"), F.arrow_udf(_consensus, "binary")("ts").alias("common"))
-    held = told.join(polls, F.col("key") == F.col("p_key"))
+    held = _join_node(told, polls, "p_key")
     held = held.select("key", "rep", F.arrow_udf(_agreement, "double")("tokens", "common").alias("like"))
     held = scratch.cut(held, "held")  # apart from the grouping, so that the join can be split
     return held.groupBy(F.col("key").alias("m_key")).agg(F.max_by("rep", F.struct("like", -F.col("rep"))).alias("medoid"))
@@ -226,7 +236,7 @@ def candidate_pairs(classes: DataFrame, scratch: Scratch) -> tuple[DataFrame, Da
         if many.isEmpty():
             break
         if level == DEPTH:
-            large = scratch.cut(many.join(_with_medoid(many, classes, scratch), F.col("key") == F.col("m_key")).drop("m_key"), "large")
+            large = scratch.cut(_join_node(many, _with_medoid(many, classes, scratch), "m_key").drop("m_key"), "large")
             break
         walk = many.select("key", F.col("rep").alias("w_rep")).join(classes, F.col("w_rep") == F.col("rep"))
         second = F.pmod(F.xxhash64("key", F.lit("second")), F.lit(1 << 20)) < int(BRANCH * (1 << 20))
@@ -279,7 +289,7 @@ def _place_strays(labels: DataFrame, large: DataFrame, classes: DataFrame, texts
     strays = scratch.cut(strays.select(F.col("key").alias("s_key"), F.col("rep").alias("stray"), F.col("own").alias("s_own")), "strays")
     if strays.isEmpty():
         return labels
-    star = placed.join(strays, F.col("key") == F.col("s_key")).where("own <> s_own").select(F.least("rep", "stray").alias("a"), F.greatest("rep", "stray").alias("b"))
+    star = _join_node(placed, strays, "s_key").where("own <> s_own").select(F.least("rep", "stray").alias("a"), F.greatest("rep", "stray").alias("b"))
     near = _estimated(scratch.cut(star.distinct(), "stray-pairs"), classes)
     return merge_components(labels, scratch.cut(_confirm(near, texts, width), "links-3"), scratch, "third")
 
@@ -323,7 +333,7 @@ def _link_rest(labels: DataFrame, large: DataFrame, classes: DataFrame, texts: D
     held = scratch.cut(large.select("key", "rep").join(of_rep, F.col("rep") == F.col("vr"), "left").select("key", "rep", F.coalesce("cr", "rep").alias("own")), "rest")
     # unlike the medoid's component alone, this also sees members linked only to each other
     open_keys = held.groupBy(F.col("key").alias("o_key")).agg(F.min("own").alias("x"), F.max("own").alias("y")).where("x <> y").select("o_key")
-    rows = held.join(open_keys, F.col("key") == F.col("o_key")).select("rep", "own").distinct()
+    rows = _join_node(held, open_keys, "o_key").select("rep", "own").distinct()
     rows = scratch.cut(rows.join(texts, F.col("rep") == F.col("t_id")).select("rep", "own", "t").dropDuplicates(["rep"]), "rest-texts")
     if rows.isEmpty():
         return labels
