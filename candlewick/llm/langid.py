@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from .shared import bound_batches, fold
 
+#: Rows of the table; their numbers fit two bytes.
 BUCKETS = 1 << 16
 DIM = 16
 GRAMS = (3, 4)
@@ -179,13 +180,13 @@ def train(docs: DataFrame, sample_per_lang: int = SAMPLE_PER_LANG) -> Model:
 
     def read(texts: pa.Array) -> pa.Array:
         made = [bags(b" " + x.as_py() + b" ") for x in texts]
-        return pa.array([[{"u": u.astype("<u4").tobytes(), "c": c.astype("<f4").tobytes()} for u, c in m] for m in made], pa.list_(pa.struct([("u", pa.binary()), ("c", pa.binary())])))
+        return pa.array([[{"u": u.astype("<u2").tobytes(), "c": c.astype("<f4").tobytes()} for u, c in m] for m in made], pa.list_(pa.struct([("u", pa.binary()), ("c", pa.binary())])))
 
     # equal rows are drawn together; one of them is learned from
     got = picked.groupBy("lang", "doc_id", F.xxhash64("text").alias("h")).agg(F.min(text).alias("t"))
     got = got.select("lang", "doc_id", "h", F.arrow_udf(read, "array<struct<u:binary,c:binary>>")("t").alias("bags"))
     got = sorted(((r.lang, -1 if r.doc_id is None else r.doc_id, r.h, r.bags) for r in got.toLocalIterator()), key=lambda r: r[:3])
-    samples = [[(np.frombuffer(bytes(b.u), "<u4").astype(np.int64), np.frombuffer(bytes(b.c), "<f4")) for b in r[3]] for r in got]
+    samples = [[(np.frombuffer(bytes(b.u), "<u2"), np.frombuffer(bytes(b.c), "<f4")) for b in r[3]] for r in got]
     order = np.random.default_rng(1).permutation(len(got))
     return fit([samples[i] for i in order], [got[i][0] for i in order])
 
