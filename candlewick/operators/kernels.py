@@ -97,6 +97,7 @@ class Series:
     volume: np.ndarray
 
     def __post_init__(self) -> None:
+        """``obv`` may be set afterwards, to the line of a longer series that this is a part of."""
         self.n = n = len(self.close)
         h, l, c = self.high, self.low, self.close
         self.change = np.diff(c)
@@ -316,3 +317,19 @@ class Series:
 
 #: Output -> the family that computes it.
 FAMILY_OF = {k: k for k in ORDER} | {k: f for f in ("donchian", "env", "vi", "aroon", "fcb") for k in ORDER if k.startswith(f + "_")} | {"pdi": "adx", "mdi": "adx", "obv_line": "obv_line"}
+
+#: Recurrences that stand on each other: exponential means of weight 2 / (p + 1), and Wilder's of 1 / p.
+_EXPONENTIAL = {"ema": 1, "dema": 2, "tema": 3, "trix": 3, "fi": 1}
+_WILDER = {"smma": 1, "rsi": 1, "sm_rsi": 1, "atr": 1, "pdi": 1, "mdi": 1, "adx": 2}
+
+
+def reach(output: str, p: int) -> int:
+    """Bars back from a bar beyond which nothing bears on its value in double precision: the frame of
+    a windowed output (stacked ones take twice the period), or where a recurrence's memory is negligible."""
+    levels = _EXPONENTIAL.get(output) or _WILDER.get(output)
+    if levels is None:
+        return 2 * p + 2
+    left = 1.0 - (2.0 / (p + 1) if output in _EXPONENTIAL else 1.0 / p)
+    memory = np.log(_NEGLIGIBLE) / np.log(left) if left > 0 else 0.0
+    # a stack of means forgets like t ** (levels - 1) * left ** t, and starts levels * p bars late
+    return int(np.ceil(memory * (1 + 0.25 * (levels - 1)))) + levels * p + 2

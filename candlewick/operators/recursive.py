@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -24,8 +26,9 @@ def nullable(result: kernels.Result) -> pa.Array:
     return pa.array(np.ascontiguousarray(result[0]), type=pa.float64(), mask=~result[1])
 
 
-def add_recursive(bars: DataFrame, wanted: dict[str, list[int]]) -> DataFrame:
-    """``bars`` with a column per wanted output and period; every series is one group."""
+def add_recursive(bars: DataFrame, wanted: dict[str, list[int]], keys: Sequence[str] = KEYS) -> DataFrame:
+    """``bars`` with a column per wanted output and period; every series (or what ``keys`` tell apart)
+    is one group. Of groups with a column ``_own``, the rows where that is false only lead in."""
     ship(bars.sparkSession)
     names = [(f, p) for f, ps in wanted.items() for p in ps]
     schema = StructType(list(bars.schema.fields))
@@ -41,6 +44,6 @@ def add_recursive(bars: DataFrame, wanted: dict[str, list[int]]) -> DataFrame:
         done = {p: s.outputs(fs, p) for p, fs in by_period.items()}
         for f, p in names:
             table = table.append_column(f"{f}_{p}", nullable(done[p][f]))
-        return table
+        return table.filter(table.column("_own")) if "_own" in table.column_names else table
 
-    return bars.groupBy(*KEYS).applyInArrow(run, schema)
+    return bars.groupBy(*keys).applyInArrow(run, schema)

@@ -23,11 +23,20 @@ def feature_ranges(cells: DataFrame) -> DataFrame:
     return cells.groupBy(*KEYS, "idx", "feature").agg(F.min(real).alias("min"), F.max(real).alias("max"), F.count("value").alias("present"), F.count(real).alias("real"), *marks)
 
 
+def _unequal(cells: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(series, idx) of ``pairs`` (series, idx, first_idx) whose values differ in some row; NaN equals
+    NaN and null equals null. Only the cells of the pairs take part."""
+    rows = cells.select(*KEYS, "rn", "idx", "value")
+    mine = rows.join(F.broadcast(pairs), [*KEYS, "idx"])  # at most one row per feature of the schema and series
+    theirs = rows.join(F.broadcast(pairs.select(*KEYS, F.col("first_idx").alias("idx")).distinct()), [*KEYS, "idx"]).select(*KEYS, "rn", F.col("idx").alias("first_idx"), F.col("value").alias("first_value"))
+    return mine.join(theirs, [*KEYS, "rn", "first_idx"]).where(~F.col("value").eqNullSafe(F.col("first_value"))).select(*KEYS, "idx").distinct()
+
+
 def screen(cells: DataFrame) -> DataFrame:
     """instrument, timeframe, idx, feature, min, max, kept, reason.
 
     A feature with NaN only has no range and is kept. Of equal features that are not dropped already,
-    the first in schema order stays.
+    the first in schema order stays. Equal marks find the candidates; values confirm them.
     """
     f = feature_ranges(cells)
     reason = F.when(F.col("present") == 0, EMPTY).when((F.col("real") > 0) & (F.abs(F.col("max") - F.col("min")) < MIN_RANGE), CONSTANT)
@@ -35,5 +44,8 @@ def screen(cells: DataFrame) -> DataFrame:
     equal = Window.partitionBy(*KEYS, "present", "mark1", "mark2", F.col("reason").isNull())
     first = F.min(F.struct("idx", "feature")).over(equal)
     f = f.withColumn("first", F.when(F.col("reason").isNull(), first))
-    f = f.withColumn("reason", F.when(F.col("reason").isNull() & (F.col("first.idx") != F.col("idx")), F.concat(F.lit("Duplicate of "), F.col("first.feature"))).otherwise(F.col("reason")))
+    pairs = f.where(F.col("reason").isNull() & (F.col("first.idx") != F.col("idx"))).select(*KEYS, "idx", F.col("first.idx").alias("first_idx"))
+    f = f.join(_unequal(cells, pairs).withColumn("unequal", F.lit(True)), [*KEYS, "idx"], "left")
+    duplicate = F.col("reason").isNull() & (F.col("first.idx") != F.col("idx")) & F.col("unequal").isNull()
+    f = f.withColumn("reason", F.when(duplicate, F.concat(F.lit("Duplicate of "), F.col("first.feature"))).otherwise(F.col("reason")))
     return f.select(*KEYS, "idx", "feature", "min", "max", F.col("reason").isNull().alias("kept"), "reason")

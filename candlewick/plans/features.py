@@ -20,9 +20,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StructType
 
 from ..functions.frames import KEYS, ORDER
+from ..functions.scalars import price
 from ..operators import kernels
 from ..operators.recursive import series_of
 from ..shipping import ship
+from .indicators import numbered, overlapping, with_obv
 
 MIN_PERIOD, MAX_PERIOD = 5, 200
 
@@ -59,8 +61,16 @@ class FeatureSpace:
         return F.when(period == 0, F.lit("obv_line")).otherwise(F.concat_ws("_", F.element_at(families, place.cast("int") + 1), period.cast("string")))
 
 
-def packed_features(bars: DataFrame, space: FeatureSpace) -> DataFrame:
-    """instrument, timeframe, timestamp, rn, close, period, values."""
+#: Numbers in one Arrow list array, whose offsets have 32 bits.
+LIST_NUMBERS = 1 << 30
+
+
+def packed_features(bars: DataFrame, space: FeatureSpace, chunk_rows: int | None = None) -> DataFrame:
+    """instrument, timeframe, timestamp, rn, close, period, values.
+
+    A task has one period of one series, or with ``chunk_rows`` of one chunk of a series (led in by the
+    bars that its outputs reach back to), so that no task grows with a series' length.
+    """
     ship(bars.sparkSession)
     periods = (0,) * space.obv + tuple(space.periods)
     kinds = {f.name: f.dataType for f in bars.schema.fields}
@@ -73,17 +83,32 @@ def packed_features(bars: DataFrame, space: FeatureSpace) -> DataFrame:
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by([(ORDER, "ascending")])
         s, p, n = series_of(table), table.column("period")[0].as_py(), table.num_rows
+        if chunk_rows:
+            s.obv = table.column("obv_line").to_numpy()
         results = list((s.outputs(outputs, p) if p else s.obv_line()).values())
+        first = table.column("_own").to_pylist().index(True) if chunk_rows else 0
         k = len(results)
-        flat = np.column_stack([v for v, _ in results]).ravel()
-        unknown = ~np.column_stack([known for _, known in results]).ravel()
-        values = pa.ListArray.from_arrays(pa.array(np.arange(0, n * k + 1, k, dtype=np.int32)), pa.array(flat, type=pa.float64(), mask=unknown))
-        kept = [table.column(c) for c in (*KEYS, ORDER)]
-        numbers = [pa.array(np.arange(1, n + 1, dtype=np.int64)), table.column("close"), pa.array(np.full(n, p, dtype=np.int32)), values]
-        return pa.Table.from_arrays([*kept, *numbers], names=[f.name for f in schema.fields])
-
-    fanned = bars.select(*KEYS, ORDER, "open", "high", "low", "close", "volume", F.explode(F.array(*map(F.lit, periods))).alias("period"))
-    return fanned.groupBy(*KEYS, "period").applyInArrow(run, schema)
+        flat = np.column_stack([v[first:] for v, _ in results])
+        unknown = ~np.column_stack([known[first:] for _, known in results])
+        numbers = table.column("rn").to_numpy()[first:] if chunk_rows else np.arange(1, n + 1, dtype=np.int64)
+        lists, step = [], max(1, LIST_NUMBERS // k)
+        for at in range(0, n - first, step):
+            v, u = flat[at : at + step], unknown[at : at + step]
+            lists.append(pa.ListArray.from_arrays(pa.array(np.arange(0, v.size + 1, k, dtype=np.int32)), pa.array(v.ravel(), type=pa.float64(), mask=u.ravel())))
+        kept = [table.column(c).slice(first) for c in (*KEYS, ORDER)]
+        made = [pa.array(numbers), table.column("close").slice(first), pa.array(np.full(n - first, p, dtype=np.int32)), pa.chunked_array(lists)]
+        return pa.Table.from_arrays([*kept, *made], names=[f.name for f in schema.fields])
+
+    keys, more = KEYS, []
+    if chunk_rows:
+        if chunk_rows < (least := 3 * max(space.periods, default=0) + 1):
+            raise ValueError(f"chunks of {chunk_rows} rows; these periods need {least}")
+        lead = max((kernels.reach(o, p) for o in outputs for p in space.periods), default=1)
+        bars = numbered(bars, int(bars.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        bars = overlapping(with_obv(bars, chunk_rows), chunk_rows, lead)
+        keys, more = (*KEYS, "_chunk"), ["rn", "obv_line", "_chunk", "_own"]
+    fanned = bars.select(*KEYS, ORDER, "open", "high", "low", "close", "volume", *more, F.explode(F.array(*map(F.lit, periods))).alias("period"))
+    return fanned.groupBy(*keys, "period").applyInArrow(run, schema)
 
 
 def cells(packed: DataFrame, space: FeatureSpace) -> DataFrame:
@@ -110,12 +135,13 @@ def null_row_filter(df: DataFrame, columns: Sequence[str] | None = None) -> Data
 
 
 def next_return(df: DataFrame, order: str = ORDER) -> DataFrame:
-    """Adds ``target``: the return to the next row of the series; rows with a zero close or no next
-    row get null. Apply it after filtering."""
+    """Adds ``target``: the return to the next row of the series, of closes as the base table has them
+    (five decimals); rows with a zero close or no next row get null. Apply it after filtering."""
     from pyspark.sql import Window
 
-    following = F.lead("close").over(Window.partitionBy(*KEYS).orderBy(order))
-    return df.withColumn("target", F.when(F.col("close") != 0, (following - F.col("close")) / F.when(F.col("close") != 0, F.col("close"))))
+    close = price(F.col("close")).cast("double")
+    following = F.lead(close).over(Window.partitionBy(*KEYS).orderBy(order))
+    return df.withColumn("target", F.when(close != 0, (following - close) / F.when(close != 0, close)))
 
 
 def wide_features(packed: DataFrame, names: Sequence[str], space: FeatureSpace) -> DataFrame:

@@ -1,8 +1,9 @@
 """Indicators on request: name families and periods, get columns.
 
 ``indicators`` sorts each series once in one task, which is right for many series. A single series
-of very many bars would be one task's work, so ``chunked_indicators`` cuts it into chunks of bars
-that overlap by as many bars as the frames reach back; each chunk is then an independent partition.
+of very many bars would be one task's work, so ``chunked_indicators`` cuts it into chunks of bars,
+each led in by as many bars as its outputs reach back; a chunk is then an independent partition.
+Recursive families reach back until their memory is below a double's precision.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import frames as W
-from ..operators.kernels import FAMILY_OF
+from ..operators.kernels import FAMILY_OF, reach
 from ..operators.recursive import RECURSIVE, add_recursive
 from ..operators.windowed import FAMILIES, add_windowed
 from ..storage import ready_checkpoints
@@ -55,35 +56,50 @@ def numbered(bars: DataFrame, partitions: int) -> DataFrame:
     return out.withColumn("rn", F.col("_at") - F.col("_first") + F.col("_before") + 1).drop("_at", "_run", "_first", "_before")
 
 
-def _overlapping(df: DataFrame, chunk_rows: int, reach: int) -> DataFrame:
-    """Rows with their chunk; the last ``reach`` rows of a chunk also stand, marked, before the next."""
+def overlapping(df: DataFrame, chunk_rows: int, reach: int) -> DataFrame:
+    """Rows with their chunk; the ``reach`` rows before a chunk also stand, not its own, before it."""
     own = F.floor((F.col("rn") - 1) / chunk_rows).cast("long")
-    late = (F.col("rn") - 1) % chunk_rows >= chunk_rows - reach
-    return df.withColumn("_chunk", F.explode(F.when(late, F.array(own, own + 1)).otherwise(F.array(own)))).withColumn("_own", F.col("_chunk") == own)
+    last = F.least(F.floor((F.col("rn") - 1 + reach) / chunk_rows), F.floor((F.col("n") - 1) / chunk_rows)).cast("long")
+    return df.withColumn("_chunk", F.explode(F.sequence(own, last))).withColumn("_own", F.col("_chunk") == own)
+
+
+def with_obv(df: DataFrame, chunk_rows: int) -> DataFrame:
+    """Numbered bars with their on-balance volume: sums within chunks on the sums of the chunks before."""
+    keys = (*W.KEYS, "_chunk")
+    with W.partitioned_by(*keys):
+        d = overlapping(df, chunk_rows, 1)
+        change = F.col("close") - F.lag("close").over(W.base())
+        d = d.withColumn("_signed", F.coalesce(F.signum(change) * F.col("volume"), F.lit(0.0))).where("_own")
+        sums = d.groupBy(*keys).agg(F.sum("_signed").alias("_sum"))
+        before = Window.partitionBy(*W.KEYS).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+        sums = sums.select(*keys, F.coalesce(F.sum("_sum").over(before), F.lit(0.0)).alias("_base"))
+        d = d.withColumn("_inside", F.sum("_signed").over(W.so_far())).join(sums, list(keys))
+        return d.withColumn("obv_line", F.col("_base") + F.col("_inside")).drop("_chunk", "_own", "_signed", "_inside", "_base")
 
 
 def chunked_indicators(bars: DataFrame, wanted: dict[str, list[int]], chunk_rows: int = CHUNK_ROWS, partitions: int | None = None) -> DataFrame:
-    """As ``indicators`` for families with finite frames and on-balance volume, in chunks of bars."""
-    if unknown := set(wanted) - set(FAMILIES):
-        raise ValueError(f"these families have no finite frame: {sorted(unknown)}")
-    # stacked frames (hma, obv_sma) reach back by at most twice the period, and one row for changes
-    reach = 2 * max((p for ps in wanted.values() for p in ps), default=1) + 2
-    if chunk_rows < reach:
-        raise ValueError(f"chunks of {chunk_rows} rows are shorter than the frames' reach of {reach}")
+    """As ``indicators``, in chunks of bars. Chunks are at least three times the longest period of a
+    recursive family, as some have no values in series shorter than that."""
+    recursive = {f: ps for f, ps in wanted.items() if f in RECURSIVE}
+    windowed = {f: ps for f, ps in wanted.items() if f in FAMILIES}
+    if unknown := set(wanted) - set(recursive) - set(windowed):
+        raise ValueError(f"unknown families {sorted(unknown)}")
+    if chunk_rows < (least := 3 * max((p for ps in recursive.values() for p in ps), default=0) + 1):
+        raise ValueError(f"chunks of {chunk_rows} rows; these periods need {least}")
     columns = list(bars.columns)
     df = numbered(bars, partitions or int(bars.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    keys = (*W.KEYS, "_chunk")
+    keys, made = (*W.KEYS, "_chunk"), []
+    if recursive:
+        lead = max(reach(f, p) for f, ps in recursive.items() for p in ps)
+        df = add_recursive(overlapping(df, chunk_rows, lead), recursive, keys).drop("_chunk", "_own")
+        made += [f"{f}_{p}" for f, ps in recursive.items() for p in ps]
+    if not windowed:
+        return df.select(*columns, *made)
+    if {"obv_line", "obv_sma"} & set(windowed):
+        df = with_obv(df, chunk_rows)
+    made += ["obv_line"] * ("obv_line" in windowed)
     with W.partitioned_by(*keys):
-        if {"obv_line", "obv_sma"} & set(wanted):
-            d = _overlapping(df, chunk_rows, 1)
-            change = F.col("close") - F.lag("close").over(W.base())
-            d = d.withColumn("_signed", F.coalesce(F.signum(change) * F.col("volume"), F.lit(0.0))).where("_own")
-            sums = d.groupBy(*keys).agg(F.sum("_signed").alias("_sum"))
-            before = Window.partitionBy(*W.KEYS).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-            sums = sums.select(*keys, F.coalesce(F.sum("_sum").over(before), F.lit(0.0)).alias("_base"))
-            d = d.withColumn("_inside", F.sum("_signed").over(W.so_far())).join(sums, list(keys))
-            df = d.withColumn("obv_line", F.col("_base") + F.col("_inside")).drop("_chunk", "_own", "_signed", "_inside", "_base")
-        wide = add_windowed(W.with_bars(_overlapping(df, chunk_rows, reach)), wanted)
-    made = [c for c in wide.columns if c not in W.with_bars(df).columns and not c.startswith("_")]
-    extra = ["obv_line"] if "obv_line" in wide.columns and "obv_line" in wanted else []
-    return wide.where("_own").select(*columns, *extra, *made)
+        base = W.with_bars(overlapping(df, chunk_rows, max(reach(f, p) for f, ps in windowed.items() for p in ps)))
+        wide = add_windowed(base, windowed)
+    made += [c for c in wide.columns if c not in base.columns and not c.startswith("_")]
+    return wide.where("_own").select(*columns, *made)

@@ -59,14 +59,14 @@ def analyze(candles: DataFrame, space: FeatureSpace | None = None, batch_rows: i
     n = clean.count()
     if not n:
         return Selection([], [], quality)
-    kept = [(r.idx, r.feature) for r in quality.where("kept").select("idx", "feature").distinct().orderBy("idx").collect()]
-    names = [f for _, f in kept]
-    where = spark.createDataFrame([(i, k) for k, (i, _) in enumerate(kept)], "idx int, rank int")
+    kept = quality.where("kept").groupBy("idx", "feature").agg(((F.min("min") + F.max("max")) / 2).alias("middle")).orderBy("idx").collect()
+    names = [r.feature for r in kept]
+    where = spark.createDataFrame([(r.idx, k) for k, r in enumerate(kept)], "idx int, rank int")
     clean_cells = each.join(clean.select("instrument", "timeframe", "rn", "clean_rn"), ["instrument", "timeframe", "rn"])
     clusters: dict[str, str] = {}
     chosen = names
     if n > 1 and len(names) > 1:
-        r = correlation.pearson(*correlation.gram(correlation.row_vectors(clean_cells, where), len(names)))
+        r = correlation.pearson(*correlation.gram(correlation.row_vectors(clean_cells, where), len(names), [r.middle or 0.0 for r in kept]))
         chosen, label = correlation.representatives(names, r, threshold)
         clusters = {f: names[i] for f, i in zip(names, label, strict=True)}
     left = spark.createDataFrame([(f,) for f in chosen], "feature string")

@@ -13,6 +13,7 @@ from .operators import correlation, ranking, screening
 from .operators.recursive import add_recursive
 from .operators.windowed import add_windowed
 from .plans.features import FeatureSpace, cells, complete_rows, next_return, null_row_filter, packed_features, wide_features
+from .plans.indicators import chunked_indicators
 from .plans.selection import analyze, export_head
 from .sources.candles import bars, base_table, candles_from_events, slice_candles
 
@@ -85,10 +86,23 @@ def returns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every output at two periods, packed and unpacked again: count and sum per feature."""
+    """Every output at two periods, packed and unpacked again: count and sum per feature, of values to six decimals."""
     space = FeatureSpace(periods=PERIODS)
     c = cells(packed_features(bars(candles(spark, sf_dir)), space), space)
-    return c.groupBy("instrument", "idx", "feature").agg(F.count("value").alias("present"), (F.round(F.sum("value"), 3) + F.lit(0.0)).alias("total"))
+    return c.groupBy("instrument", "idx", "feature").agg(F.count("value").alias("present"), (F.round(F.sum(F.round("value", 6)), 2) + F.lit(0.0)).alias("total"))
+
+
+def chunked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recursive and windowed families of every series in chunks of 150 bars."""
+    out = chunked_indicators(bars(candles(spark, sf_dir)), {f: list(PERIODS) for f in ("tema", "adx", "obv_sma")}, chunk_rows=150)
+    return shown(out, [f"{f}_{p}" for f in ("tema", "adx", "obv_sma") for p in PERIODS])
+
+
+def chunked_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As all_features, from features packed in chunks of 150 bars."""
+    space = FeatureSpace(periods=PERIODS)
+    c = cells(packed_features(bars(candles(spark, sf_dir)), space, chunk_rows=150), space)
+    return c.groupBy("instrument", "idx", "feature").agg(F.count("value").alias("present"), (F.round(F.sum(F.round("value", 6)), 2) + F.lit(0.0)).alias("total"))
 
 
 def wide(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -220,6 +234,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = (
     | {k: recursive_query(v) for k, v in RECURSIVE.items()}
     | {
         "all_features": all_features,
+        "chunked_indicators": chunked,
+        "chunked_features": chunked_features,
         "wide_features": wide,
         "null_row_filter": null_rows,
         "next_return": returns,
@@ -417,9 +433,9 @@ def _features_sql() -> str:
     cells_ = ", ".join(f"{{'idx': {i}, 'feature': '{n}', 'value': {n}::DOUBLE}}" for i, n in enumerate(names))
     clean = " AND ".join(f"{n} IS NOT NULL" for n in names)
     return f"""{_CANDLES},
-f AS MATERIALIZED (SELECT instrument, ts, rn, close, {', '.join(columns)} FROM b),
+f AS MATERIALIZED (SELECT instrument, ts, rn, close, {_half_even('close')} AS shown, {', '.join(columns)} FROM b),
 k AS (SELECT instrument, ts, rn, e.idx AS idx, e.feature AS feature, e.value AS value FROM (SELECT instrument, ts, rn, unnest([{cells_}]) AS e FROM f)),
-g AS MATERIALIZED (SELECT *, row_number() OVER q AS clean_rn, CASE WHEN close <> 0 THEN (lead(close) OVER q - close) / nullif(close, 0) END AS target FROM f WHERE {clean} WINDOW q AS (PARTITION BY instrument ORDER BY rn))"""
+g AS MATERIALIZED (SELECT *, row_number() OVER q AS clean_rn, CASE WHEN shown <> 0 THEN (lead(shown) OVER q - shown) / nullif(shown, 0) END AS target FROM f WHERE {clean} WINDOW q AS (PARTITION BY instrument ORDER BY rn))"""
 
 
 def _half_even(x: str) -> str:
@@ -463,7 +479,26 @@ SELECT instrument, idx, feature, why IS NULL AND first = feature AS kept, CASE W
     }
 
 
-ORACLES: dict[str, str] = {f: _windowed_query_sql(f) for f in WINDOWED} | {k: _recursive_sql(k) for k in RECURSIVE} | _selection_sql()
+def _every_output_sql() -> str:
+    """Count and sum per feature and series, from the SQL of the families."""
+    outputs = FeatureSpace(periods=PERIODS).names()
+    parts = []
+    for key in (*WINDOWED, *RECURSIVE):
+        sql = _windowed_query_sql(key) if key in WINDOWED else _recursive_sql(key)
+        mine = ["obv_line"] if key == "obv_line" else [n for n in outputs if f" + 0e0 AS {n}," in sql or f" + 0e0 AS {n} " in sql]
+        cells_ = ", ".join(f"{{'idx': {outputs.index(n)}, 'feature': '{n}', 'v': {n}::DOUBLE}}" for n in mine)
+        parts.append(f"SELECT instrument, e.idx AS idx, e.feature AS feature, count(e.v) AS present, round(sum(e.v), 2) + 0e0 AS total FROM (SELECT instrument, unnest([{cells_}]) AS e FROM ({sql})) GROUP BY ALL")
+    return " UNION ALL ".join(parts)
+
+
+def _chunked_sql() -> str:
+    names = {k: [f"{k}_{p}" for p in PERIODS] for k in ("tema", "adx", "obv_sma")}
+    t, a, o = _recursive_sql("tema"), _recursive_sql("adx"), _windowed_query_sql("obv_sma")
+    columns = ", ".join(f"{k}.{n}" for k, ns in names.items() for n in ns)
+    return f"SELECT instrument, ts, {columns} FROM ({t}) tema JOIN ({a}) adx USING (instrument, ts) JOIN ({o}) obv_sma USING (instrument, ts)"
+
+
+ORACLES: dict[str, str] = {"all_features": _every_output_sql(), "chunked_features": _every_output_sql(), "chunked_indicators": _chunked_sql()} | {f: _windowed_query_sql(f) for f in WINDOWED} | {k: _recursive_sql(k) for k in RECURSIVE} | _selection_sql()
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,6 +25,14 @@ def test_screen(spark):
     assert out == {"a": None, "b": "Duplicate of a", "c": None, "flat": screening.CONSTANT, "flat2": screening.CONSTANT, "void": screening.EMPTY, "nan": None, "d": None, "zero": None, "minus": "Duplicate of zero"}
 
 
+def test_equal_marks_do_not_make_duplicates(spark, monkeypatch):
+    cols = {"a": [1.0, 2.0, 4.0], "b": [1.0, 3.0, 4.0], "c": [1.0, 2.0, 4.0]}
+    with monkeypatch.context() as m:
+        m.setattr(screening.F, "xxhash64", lambda *_: F.lit(7).cast("long"))  # every mark collides
+        screened = screening.screen(long_cells(spark, cols))
+    assert {r.feature: r.reason for r in screened.collect()} == {"a": None, "b": None, "c": "Duplicate of a"}
+
+
 def greedy_linkage(dist, cut):
     groups = [[i] for i in range(len(dist))]
     while len(groups) > 1:
@@ -110,6 +118,13 @@ def test_clean_rows_keep_nan(spark):
     assert P.null_row_filter(df).count() == 1 and P.null_row_filter(df, ["a"]).count() == 2
 
 
+def test_returns_of_rounded_closes(spark):
+    """Five decimals, half to even, as the base table has them; what rounds to 0 has no return."""
+    df = spark.createDataFrame([("A", "m", i, c) for i, c in enumerate([1.000005, 1.000015, 0.000004, 2.0])], "instrument string, timeframe string, timestamp long, close double")
+    got = [r.target for r in P.next_return(df).orderBy("timestamp").collect()]
+    assert got == [pytest.approx(0.00002), pytest.approx(-1.0), None, None]
+
+
 def test_next_return(spark):
     df = spark.createDataFrame([("A", "m1", i, c) for i, c in enumerate((2.0, 3.0, 0.0, 4.0))], "instrument string, timeframe string, timestamp long, close double")
     assert [r.target for r in P.next_return(df).orderBy("timestamp").collect()] == [0.5, -1.0, None, None]
