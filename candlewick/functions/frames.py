@@ -15,6 +15,11 @@ KEYS = ("instrument", "timeframe")
 ORDER = "timestamp"
 
 
+def feature_keys(df: DataFrame) -> list[str]:
+    """What tells features apart in ``df``: the index, and the name if it is there."""
+    return [c for c in ("idx", "feature") if c in df.columns]
+
+
 _partition: ContextVar[tuple[str, ...]] = ContextVar("partition", default=KEYS)
 
 

@@ -21,7 +21,7 @@ BLOCK = 256
 def row_vectors(cells: DataFrame, wanted: DataFrame) -> DataFrame:
     """Per bar the values of the ``wanted`` features (idx, from 0 in rank order) as one array; the
     array is as long as the feature list, whatever the number of bars."""
-    ranked = cells.join(wanted, "idx")
+    ranked = cells.join(F.broadcast(wanted), "idx")  # no longer than the schema
     return ranked.groupBy(*KEYS, "rn").agg(F.transform(F.sort_array(F.collect_list(F.struct("rank", "value"))), lambda x: x["value"]).alias("x"))
 
 

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.frames import KEYS
+from ..functions.frames import KEYS, feature_keys
 
 MIN_RANGE = 1e-9
 EMPTY, CONSTANT = "All Null / Empty", "Zero Variance (Constant Value)"
@@ -20,7 +22,7 @@ def feature_ranges(cells: DataFrame) -> DataFrame:
     real = F.when(~F.isnan("value"), F.col("value"))
     exact = F.when(F.col("value") == 0, 0.0).otherwise(F.col("value"))  # -0.0 equals 0.0
     marks = [F.bit_xor(F.xxhash64(F.lit(salt), "rn", exact)).alias(f"mark{salt}") for salt in (1, 2)]
-    return cells.groupBy(*KEYS, "idx", "feature").agg(F.min(real).alias("min"), F.max(real).alias("max"), F.count("value").alias("present"), F.count(real).alias("real"), *marks)
+    return cells.groupBy(*KEYS, *feature_keys(cells)).agg(F.min(real).alias("min"), F.max(real).alias("max"), F.count("value").alias("present"), F.count(real).alias("real"), *marks)
 
 
 def _unequal(cells: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -32,13 +34,15 @@ def _unequal(cells: DataFrame, pairs: DataFrame) -> DataFrame:
     return mine.join(theirs, [*KEYS, "rn", "first_idx"]).where(~F.col("value").eqNullSafe(F.col("first_value"))).select(*KEYS, "idx").distinct()
 
 
-def screen(cells: DataFrame) -> DataFrame:
-    """instrument, timeframe, idx, feature, min, max, kept, reason.
+def screen(cells: DataFrame, name: Callable[[Column], Column] | None = None) -> DataFrame:
+    """instrument, timeframe, idx, feature, min, max, kept, reason. ``name`` gives features their names
+    where ``cells`` have none.
 
     A feature with NaN only has no range and is kept. Of equal features that are not dropped already,
     the first in schema order stays. Equal marks find the candidates; values confirm them.
     """
     f = feature_ranges(cells)
+    f = f.withColumn("feature", name(F.col("idx"))) if name else f
     reason = F.when(F.col("present") == 0, EMPTY).when((F.col("real") > 0) & (F.abs(F.col("max") - F.col("min")) < MIN_RANGE), CONSTANT)
     f = f.withColumn("reason", reason)
     equal = Window.partitionBy(*KEYS, "present", "mark1", "mark2", F.col("reason").isNull())

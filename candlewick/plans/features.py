@@ -56,6 +56,13 @@ class FeatureSpace:
         value = at * len(self.outputs) + place + int(self.obv)
         return F.when(period == 0, F.lit(0)).otherwise(value).cast("int")
 
+    def name_at(self, index: Column) -> Column:
+        """The name from the index, as an expression."""
+        k, at = len(self.outputs), index - int(self.obv)
+        family = F.element_at(F.array(*map(F.lit, self.outputs)), (F.pmod(at, F.lit(k)) + 1).cast("int"))
+        period = F.element_at(F.array(*map(F.lit, self.periods)), (F.floor(at / k) + 1).cast("int"))
+        return F.when(at < 0, F.lit("obv_line")).otherwise(F.concat_ws("_", family, period.cast("string")))
+
     def name_of(self, period: Column, place: Column) -> Column:
         families = F.array(*map(F.lit, self.outputs))
         return F.when(period == 0, F.lit("obv_line")).otherwise(F.concat_ws("_", F.element_at(families, place.cast("int") + 1), period.cast("string")))
@@ -111,10 +118,12 @@ def packed_features(bars: DataFrame, space: FeatureSpace, chunk_rows: int | None
     return fanned.groupBy(*keys, "period").applyInArrow(run, schema)
 
 
-def cells(packed: DataFrame, space: FeatureSpace) -> DataFrame:
-    """One row per bar and feature: ..., period, place, idx, feature, value."""
+def cells(packed: DataFrame, space: FeatureSpace, named: bool = True) -> DataFrame:
+    """One row per bar and feature: ..., period, place, idx, value, and with ``named`` the feature's name.
+    Plans that group them go by idx and name what is left (``FeatureSpace.name_at``)."""
     e = packed.select(*KEYS, ORDER, "rn", "close", "period", F.posexplode("values").alias("place", "value"))
-    return e.withColumns({"idx": space.index_of(F.col("period"), F.col("place")), "feature": space.name_of(F.col("period"), F.col("place"))})
+    e = e.withColumn("idx", space.index_of(F.col("period"), F.col("place")))
+    return e.withColumn("feature", space.name_of(F.col("period"), F.col("place"))) if named else e
 
 
 def complete_rows(packed: DataFrame) -> DataFrame:

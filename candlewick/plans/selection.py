@@ -53,8 +53,8 @@ def analyze(candles: DataFrame, space: FeatureSpace | None = None, batch_rows: i
     spark = candles.sparkSession
     ready_checkpoints(spark)
     packed = packed_features(bars(candles), space).checkpoint()
-    each = cells(packed, space)
-    quality = screening.screen(each).checkpoint()
+    each = cells(packed, space, named=False)  # a cell has its feature's index; names come after grouping
+    quality = screening.screen(each, space.name_at).checkpoint()
     clean = complete_rows(packed).checkpoint()
     n = clean.count()
     if not n:
@@ -69,10 +69,11 @@ def analyze(candles: DataFrame, space: FeatureSpace | None = None, batch_rows: i
         r = correlation.pearson(*correlation.gram(correlation.row_vectors(clean_cells, where), len(names), [r.middle or 0.0 for r in kept]))
         chosen, label = correlation.representatives(names, r, threshold)
         clusters = {f: names[i] for f, i in zip(names, label, strict=True)}
-    left = spark.createDataFrame([(f,) for f in chosen], "feature string")
+    index = space.index()
+    left = spark.createDataFrame([(index[f],) for f in chosen], "idx int")
     with_target = next_return(clean, "clean_rn").select("instrument", "timeframe", "rn", "target")
-    rows = clean_cells.join(left, "feature").join(with_target, ["instrument", "timeframe", "rn"])
-    ranked = ranking.stability(ranking.batch_correlations(rows, batch_rows)).checkpoint()
+    rows = clean_cells.join(F.broadcast(left), "idx").join(with_target, ["instrument", "timeframe", "rn"])  # no longer than the schema
+    ranked = ranking.stability(ranking.batch_correlations(rows, batch_rows)).withColumn("feature", space.name_at(F.col("idx"))).checkpoint()
     k = ranking.target_count(len(chosen)) if top is None else top
     selected = [r.feature for r in ranking.top_features(ranked, k).select("feature", "rank").orderBy("rank").collect()]
     return Selection(selected, final_columns([*BASE_COLUMNS, *space.names()], selected), quality, ranked, clusters, n)

@@ -33,6 +33,12 @@ def test_equal_marks_do_not_make_duplicates(spark, monkeypatch):
     assert {r.feature: r.reason for r in screened.collect()} == {"a": None, "b": None, "c": "Duplicate of a"}
 
 
+def test_names_from_indices(spark):
+    for space in (P.FeatureSpace(periods=(5, 9, 200)), P.FeatureSpace(periods=(3,), outputs=("sma", "adx"), obv=False)):
+        got = spark.range(len(space.names())).select(space.name_at(F.col("id").cast("int")).alias("n")).orderBy("id").collect()
+        assert [r.n for r in got] == space.names()
+
+
 def greedy_linkage(dist, cut):
     groups = [[i] for i in range(len(dist))]
     while len(groups) > 1:
