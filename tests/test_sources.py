@@ -1,13 +1,15 @@
 import datetime as dt
 from decimal import Decimal
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from candlewick.config import Config, checked
 from candlewick.functions import scalars as X
 from candlewick.sources import candles as C
-from candlewick.streaming.indicators import Recurrences, stream_indicators
+from candlewick.streaming.indicators import Recurrences, Tail, stream_indicators, stream_outputs
+from tests.test_indicators import random_series
 
 ENV = {"CLICKHOUSE_HOST": "h", "CLICKHOUSE_DB": "d", "QUERY_START_DATE": "2024-01-01 00:00:00", "QUERY_END_DATE": "2024-02-01"}
 
@@ -89,3 +91,65 @@ def test_recurrences_keep_a_fixed_state():
         out = r.push(k + 1.0, k - 1.0, float(k), 2.0)
         sizes.add(len(r.state()[4]) + len(r.state()[5]))
     assert sizes == {10} and out[0] == 98.0 and out[1] == pytest.approx(48.0)
+
+
+def test_tail_equals_whole_series():
+    """Every output, in micro-batches of uneven size, long after the tail has lost the start."""
+    from candlewick.operators import kernels as K
+
+    whole, periods = random_series(900, 7), (3, 5)
+    bars = [getattr(whole, c) for c in ("open", "high", "low", "close", "volume")]
+    t = Tail({f: periods for f in K.ORDER})
+    assert t.lead < 500
+    parts, state, at = [], None, 0
+    for size in (1, 2, 5, 40, 0, 300, 7, 545):
+        t = Tail({f: periods for f in K.ORDER}, state)
+        parts.append(t.push(*(x[at : at + size] for x in bars)))
+        at, state = at + size, t.state()
+        assert all(len(x) <= t.lead for x in state[5:])
+    assert at == whole.n and np.allclose(np.concatenate([p[0] for p in parts]), whole.obv)
+    ends = np.cumsum([len(p[0]) for p in parts])
+    for end, (line, results) in zip(ends, parts, strict=True):  # as a series that ends with the batch
+        so_far = K.Series(*(x[:end] for x in bars))
+        for (f, p), (got, ok) in zip(t.names, results, strict=True):
+            values, known = (x[end - len(line) :] for x in so_far.output(f, p))
+            assert np.array_equal(ok, known), (f, p, end)
+            assert np.allclose(got[ok], values[known], rtol=1e-9, atol=1e-9, equal_nan=True), (f, p, end)
+
+
+def test_lasting_nan():
+    """ADX of a series that starts flat is NaN for good, also once the tail has forgotten why."""
+    flat = np.full(12, 5.0)
+    s = random_series(400, 9)
+    bars = [np.concatenate((flat, getattr(s, c))) for c in ("open", "high", "low", "close", "volume")]
+    t, out = Tail({"adx": (3,)}), []
+    for at in range(0, 412, 103):
+        out.append(t.push(*(x[at : at + 103] for x in bars))[1][0])
+    from candlewick.operators import kernels as K
+
+    values, known = K.Series(*bars).output("adx", 3)
+    assert np.array_equal(np.concatenate([o[1] for o in out]), known)
+    assert np.array_equal(np.isnan(np.concatenate([o[0] for o in out]))[known], np.isnan(values[known]))
+
+
+def test_stream_of_all_outputs(spark, tmp_path):
+    """Two series in three micro-batches, with bars that come late or twice."""
+    schema = "instrument string, timeframe string, timestamp timestamp, open double, high double, low double, close double, volume double"
+    wanted = {"tema": (3,), "adx": (4,), "vi_plus": (3,), "median": (4,), "obv_sma": (3,), "cmo": (2,)}
+    start, whole = dt.datetime(2024, 1, 1), {"A": random_series(90, 1), "B": random_series(61, 2)}
+    rows = {k: [(k, "m1", start + dt.timedelta(minutes=i), *(float(getattr(s, c)[i]) for c in ("open", "high", "low", "close", "volume"))) for i in range(s.n)] for k, s in whole.items()}
+    cuts = [rows["A"][:40] + rows["B"][:9], rows["A"][40:41] + rows["A"][10:12], rows["A"][41:] + rows["A"][88:] + rows["B"][9:]]
+    for part in cuts:
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        q = stream_outputs(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), wanted).writeStream.format("parquet").option("path", str(tmp_path / "out"))
+        q.option("checkpointLocation", str(tmp_path / "cp")).outputMode("append").trigger(availableNow=True).start().awaitTermination(120)
+    got = {(r.instrument, r.rn): r for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert len(got) == 151 and got["A", 40].late == 0 and got["A", 41].late == 2 and got["A", 90].late == 4 and got["B", 61].late == 0
+    for k, s in whole.items():
+        for f, ps in wanted.items():
+            values, known = s.output(f, ps[0])
+            for i in range(s.n):
+                g = got[k, i + 1][f"{f}_{ps[0]}"]
+                assert (g is None) == (not known[i]) and (g is None or g == pytest.approx(values[i], rel=1e-9, abs=1e-9, nan_ok=True)), (k, f, i)
+    with pytest.raises(ValueError, match="unknown"):
+        stream_outputs(spark.createDataFrame([], schema), {"nope": (3,)})
