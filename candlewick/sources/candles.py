@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import Config
 from ..functions import scalars as S
+from ..functions.frames import ORDER
 
 #: Wire name -> table name of the columns that a source may rename.
 WIRE_NAMES = {"ts": "timestamp", "inst": "instrument", "tf": "timeframe", "min_spr": "min_spread", "max_spr": "max_spread", "avg_spr": "avg_spread"}
@@ -28,12 +29,27 @@ def read_candles(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_candles_jdbc(spark: SparkSession, config: Config, table: str = "candles", partitions: int = 1, **options: str) -> DataFrame:
-    """Raw candles from a JDBC table; filters and columns are pushed down by Spark. The database's
-    driver must be on the class path."""
+    """The configured series from a JDBC table, with table or wire names; ``options`` go to Spark's reader.
+
+    The four comparisons are made on the stored columns, epoch seconds or timestamps, so the database
+    applies them and sends the raw columns of these rows only. With ``partitions`` over 1, that many
+    connections read parts of the time range. The database's driver must be on the class path.
+    """
     reader = spark.read.format("jdbc").option("url", config.jdbc_url()).option("dbtable", table).option("user", config.user).option("password", config.password).options(**options)
+    stored = reader.load()  # the schema only
+    time = "ts" if "ts" in stored.columns else ORDER
+    kind = dict(stored.dtypes)[time]
+    epoch = kind in ("int", "bigint")
+    bounds = [F.lit(x).cast("timestamp" if epoch else kind) for x in (config.start, config.end)]
+    if epoch:
+        bounds = [F.unix_timestamp(x).cast(kind) for x in bounds]
+    first, last = spark.range(1).select(*(x.cast("string") for x in bounds)).first()
     if partitions > 1:  # parallel reads by time
-        reader = reader.option("partitionColumn", "timestamp").option("lowerBound", config.start).option("upperBound", config.end).option("numPartitions", str(partitions))
-    return long_names(reader.load()).select(*RAW_COLUMNS)
+        reader = reader.option("partitionColumn", time).option("lowerBound", first).option("upperBound", last).option("numPartitions", str(partitions))
+        stored = reader.load()
+    inst, tf = ("inst" if "inst" in stored.columns else "instrument"), ("tf" if "tf" in stored.columns else "timeframe")
+    rows = stored.where((F.col(inst) == config.instrument) & (F.col(tf) == config.timeframe) & (F.col(time) >= F.lit(first).cast(kind)) & (F.col(time) <= F.lit(last).cast(kind)))
+    return long_names(rows).select(*RAW_COLUMNS)
 
 
 def slice_candles(candles: DataFrame, instrument: str, timeframe: str, start: str, end: str) -> DataFrame:

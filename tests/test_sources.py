@@ -62,6 +62,26 @@ def test_scan_filter_and_base_table(spark, tmp_path):
     assert C.configured_candles(c, config).count() == 2
 
 
+@pytest.mark.parametrize("wire", [True, False])
+def test_jdbc_scan(spark, tmp_path, wire):
+    """From the database that Spark brings along: filters and columns go to it, both ends are included."""
+    url = f"jdbc:derby:memory:{tmp_path.name};create=true"
+    names = ("inst", "tf", "ts") if wire else ("instrument", "timeframe", "timestamp")
+    rows = raw(spark, [(1704067200 + 60 * k, i, float(k)) for k in range(10) for i in ("EURUSD", "X")]).withColumn("unread", F.lit(1))
+    (rows if wire else C.long_names(rows)).write.format("jdbc").option("url", url).option("dbtable", "candles").option("user", "app").option("createTableColumnTypes", ", ".join(f"{c} varchar(16)" for c in names[:2])).save()
+    config = Config("h", "d", "2024-01-01 00:02:00", "2024-01-01 00:05:00", user="app")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    for partitions in (1, 3):
+        got = C.read_candles_jdbc(spark, config, partitions=partitions, url=url)
+        assert tuple(got.columns) == C.RAW_COLUMNS and sorted(r.close for r in got.collect()) == [2, 3, 4, 5]
+        assert got.agg(F.min(F.unix_timestamp("timestamp"))).first()[0] == 1704067320
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        pushed = plan[plan.index("PushedFilters") :].split("]")[0]
+        assert all(n in pushed for n in (f"EqualTo({names[0]},EURUSD)", f"EqualTo({names[1]},m1)", f"GreaterThanOrEqual({names[2]},", f"LessThanOrEqual({names[2]},"))
+        assert "unread" not in plan and got.rdd.getNumPartitions() == partitions
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+
+
 def test_stream_equals_batch(spark, sf_dir, tmp_path):
     from candlewick.operators.recursive import add_recursive
     from candlewick.queries import candles
