@@ -126,12 +126,16 @@ def cells(packed: DataFrame, space: FeatureSpace, named: bool = True) -> DataFra
     return e.withColumn("feature", space.name_of(F.col("period"), F.col("place"))) if named else e
 
 
-def complete_rows(packed: DataFrame) -> DataFrame:
-    """Bars of which no feature is null (NaN is a value): keys, timestamp, rn, close, clean_rn."""
+def complete_rows(packed: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Bars of which no feature is null (NaN is a value): keys, timestamp, rn, close, clean_rn.
+
+    A task numbers a whole series; with ``partitions``, a range sort into as many does instead."""
     from pyspark.sql import Window
 
     whole = F.forall("values", lambda v: v.isNotNull())
     rows = packed.groupBy(*KEYS, ORDER, "rn").agg(F.min("close").alias("close"), F.bool_and(whole).alias("ok")).where("ok").drop("ok")
+    if partitions:
+        return numbered(rows.withColumnRenamed("rn", "_bar"), partitions).drop("n").withColumnsRenamed({"rn": "clean_rn", "_bar": "rn"})
     return rows.withColumn("clean_rn", F.row_number().over(Window.partitionBy(*KEYS).orderBy("rn")).cast("long"))
 
 
@@ -143,14 +147,21 @@ def null_row_filter(df: DataFrame, columns: Sequence[str] | None = None) -> Data
     return df.where(ok)
 
 
-def next_return(df: DataFrame, order: str = ORDER) -> DataFrame:
+def next_return(df: DataFrame, order: str = ORDER, numbers: bool = False) -> DataFrame:
     """Adds ``target``: the return to the next row of the series, of closes as the base table has them
-    (five decimals); rows with a zero close or no next row get null. Apply it after filtering."""
+    (five decimals); rows with a zero close or no next row get null. Apply it after filtering.
+
+    With ``numbers``, ``order`` counts a series' rows by one, and a row meets the next by a join on it,
+    so that no task sorts a whole series."""
     from pyspark.sql import Window
 
     close = price(F.col("close")).cast("double")
-    following = F.lead(close).over(Window.partitionBy(*KEYS).orderBy(order))
-    return df.withColumn("target", F.when(close != 0, (following - close) / F.when(close != 0, close)))
+    if numbers:
+        df = df.join(df.select(*KEYS, (F.col(order) - 1).alias(order), close.alias("_next")), [*KEYS, order], "left")
+        following = F.col("_next")
+    else:
+        following = F.lead(close).over(Window.partitionBy(*KEYS).orderBy(order))
+    return df.withColumn("target", F.when(close != 0, (following - close) / F.when(close != 0, close))).drop("_next")
 
 
 def wide_features(packed: DataFrame, names: Sequence[str], space: FeatureSpace) -> DataFrame:

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.frames import ORDER
+from ..functions.frames import KEYS, ORDER
 from ..operators import correlation, ranking, screening
 from ..sources.candles import BASE_COLUMNS, base_table, bars
 from ..sources.sinks import write_feature_list, write_parquet
@@ -44,18 +44,23 @@ class Selection:
     clean_rows: int = 0
 
 
-def analyze(candles: DataFrame, space: FeatureSpace | None = None, batch_rows: int = ranking.BATCH_ROWS, threshold: float = correlation.THRESHOLD, top: int | None = None) -> Selection:
-    """Select features for one series of raw candles: screen, cluster, rank.
+def analyze(candles: DataFrame, space: FeatureSpace | None = None, batch_rows: int = ranking.BATCH_ROWS, threshold: float = correlation.THRESHOLD, top: int | None = None, chunk_rows: int | None = None) -> Selection:
+    """Select features for one series of raw candles: screen, cluster, rank. Several series are an error.
 
     The packed table is checkpointed, as four steps read it. A series without clean rows selects nothing.
+    With ``chunk_rows``, no task has more than that of the series (and what its outputs reach back to).
     """
     space = space or FeatureSpace()
     spark = candles.sparkSession
     ready_checkpoints(spark)
-    packed = packed_features(bars(candles), space).checkpoint()
+    packed = packed_features(bars(candles), space, chunk_rows).checkpoint()
     each = cells(packed, space, named=False)  # a cell has its feature's index; names come after grouping
     quality = screening.screen(each, space.name_at).checkpoint()
-    clean = complete_rows(packed).checkpoint()
+    series = [tuple(r) for r in quality.select(*KEYS).distinct().limit(2).collect()]
+    if len(series) > 1:
+        raise ValueError(f"features are selected for one series at a time; these are of {series}")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions")) if chunk_rows else None
+    clean = complete_rows(packed, parts).checkpoint()
     n = clean.count()
     if not n:
         return Selection([], [], quality)
@@ -71,7 +76,7 @@ def analyze(candles: DataFrame, space: FeatureSpace | None = None, batch_rows: i
         clusters = {f: names[i] for f, i in zip(names, label, strict=True)}
     index = space.index()
     left = spark.createDataFrame([(index[f],) for f in chosen], "idx int")
-    with_target = next_return(clean, "clean_rn").select("instrument", "timeframe", "rn", "target")
+    with_target = next_return(clean, "clean_rn", numbers=bool(chunk_rows)).select("instrument", "timeframe", "rn", "target")
     rows = clean_cells.join(F.broadcast(left), "idx").join(with_target, ["instrument", "timeframe", "rn"])  # no longer than the schema
     ranked = ranking.stability(ranking.batch_correlations(rows, batch_rows)).withColumn("feature", space.name_at(F.col("idx"))).checkpoint()
     k = ranking.target_count(len(chosen)) if top is None else top
@@ -79,11 +84,11 @@ def analyze(candles: DataFrame, space: FeatureSpace | None = None, batch_rows: i
     return Selection(selected, final_columns([*BASE_COLUMNS, *space.names()], selected), quality, ranked, clusters, n)
 
 
-def export_head(candles: DataFrame, columns: Sequence[str], space: FeatureSpace | None = None, limit: int = EXPORT_LIMIT) -> DataFrame:
+def export_head(candles: DataFrame, columns: Sequence[str], space: FeatureSpace | None = None, limit: int = EXPORT_LIMIT, chunk_rows: int | None = None) -> DataFrame:
     """The first ``limit`` bars, in time order, of which every feature of the space is defined, with
     the base and feature columns named."""
     space = space or FeatureSpace()
-    packed = packed_features(bars(candles), space)
+    packed = packed_features(bars(candles), space, chunk_rows)
     features = [c for c in columns if c in set(space.names())]
     clean = complete_rows(packed).orderBy(ORDER, "instrument", "timeframe").limit(limit).select("instrument", "timeframe", ORDER)
     on = ["instrument", "timeframe", ORDER]
@@ -93,10 +98,10 @@ def export_head(candles: DataFrame, columns: Sequence[str], space: FeatureSpace
     return project(out, columns).orderBy(ORDER)
 
 
-def export(spark: SparkSession, candles: DataFrame, selection: Selection, folder: str, space: FeatureSpace | None = None) -> None:
+def export(spark: SparkSession, candles: DataFrame, selection: Selection, folder: str, space: FeatureSpace | None = None, chunk_rows: int | None = None) -> None:
     """Write ``selected_features.txt`` and ``selected_head.parquet`` below ``folder``."""
     write_feature_list(spark, selection.columns, f"{folder}/selected_features.txt")
-    write_parquet(export_head(candles, selection.columns, space), f"{folder}/selected_head.parquet")
+    write_parquet(export_head(candles, selection.columns, space, chunk_rows=chunk_rows), f"{folder}/selected_head.parquet")
 
 
 def reports(selection: Selection) -> str:

@@ -131,6 +131,12 @@ def test_returns_of_rounded_closes(spark):
     assert got == [pytest.approx(0.00002), pytest.approx(-1.0), None, None]
 
 
+def test_returns_by_number(spark):
+    df = spark.createDataFrame([(s, "m1", i + 1, c) for s in "AB" for i, c in enumerate((2.0, 3.0, 0.0, 4.0))], "instrument string, timeframe string, clean_rn long, close double")
+    one, other = (sorted(map(tuple, P.next_return(df, "clean_rn", numbers=k).select("instrument", "clean_rn", "target").collect())) for k in (False, True))
+    assert one == other and [t for *_, t in one[:4]] == [0.5, -1.0, None, None]
+
+
 def test_next_return(spark):
     df = spark.createDataFrame([("A", "m1", i, c) for i, c in enumerate((2.0, 3.0, 0.0, 4.0))], "instrument string, timeframe string, timestamp long, close double")
     assert [r.target for r in P.next_return(df).orderBy("timestamp").collect()] == [0.5, -1.0, None, None]
@@ -161,6 +167,27 @@ def test_analyze_and_export(spark, sf_dir, tmp_path):
     assert few.selected == s.selected[:4]
 
 
+def test_analyze_and_export_in_chunks(spark, sf_dir, tmp_path):
+    """No task has the whole series, and the selection is the same, place by place."""
+    space = P.FeatureSpace(periods=(5, 8))
+    one = candles(spark, sf_dir).where("instrument = 'click'").cache()
+    whole, cut = (S.analyze(one, space, batch_rows=40, top=12, chunk_rows=k) for k in (None, 60))
+    assert cut.selected == whole.selected and cut.clusters == whole.clusters and cut.clean_rows == whole.clean_rows
+    assert {(r.feature, r.kept, r.reason) for r in cut.quality.collect()} == {(r.feature, r.kept, r.reason) for r in whole.quality.collect()}
+    S.export(spark, one, cut, f"file://{tmp_path}/cut", space, chunk_rows=60)
+    S.export(spark, one, whole, f"file://{tmp_path}/whole", space)
+    a, b = (spark.read.parquet(f"file://{tmp_path}/{k}/selected_head.parquet").orderBy("timestamp").collect() for k in ("cut", "whole"))
+    assert len(a) == len(b) > 0
+    for x, y in zip(a, b, strict=True):
+        for c, v in y.asDict().items():
+            assert x[c] == (pytest.approx(v, rel=1e-9, abs=1e-9, nan_ok=True) if isinstance(v, float) else v), c
+
+
+def test_analyze_takes_one_series(spark, sf_dir):
+    with pytest.raises(ValueError, match="one series"):
+        S.analyze(candles(spark, sf_dir), P.FeatureSpace(periods=(5,), outputs=("sma", "mom")))
+
+
 def test_no_clean_rows(spark, sf_dir, tmp_path):
     one = candles(spark, sf_dir).where("instrument = 'click'").limit(20)
     s = S.analyze(one, P.FeatureSpace(periods=(30,)))
