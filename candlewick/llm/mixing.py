@@ -16,9 +16,11 @@ by position.
 Order within a source comes from sums over hash slices, so no task reads a whole source: the words
 before a document are those of earlier slices plus those before it in its slice.
 
+``mix_report`` writes the mix in training order, reads it back and says per document what it holds.
+
 Defined cases: null text has size 0; documents of size 0 are never taken; a null source is a source of its own, the last; rows repeating a
-doc_id are laid one after the other and counted each; an empty table gives no rows; other columns
-are kept by ``mix`` and ignored by ``schedule``, whatever their names.
+doc_id are laid one after the other, by a digest of all their columns, and each is taken and counted by itself; an empty
+table gives no rows; other columns are kept by ``mix`` and ignored by ``schedule``, but for that order, whatever their names.
 """
 
 from __future__ import annotations
@@ -35,6 +37,8 @@ MAX_REPEATS = 3
 #: Slopes of the demand rate, in turn as the weights: early, even and late sources.
 SLOPES = (-0.5, 0.0, 0.5)
 WORD = r"[^\x20\x09-\x0D]+"
+#: Timestamps to the microsecond.
+JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 #: Documents that one hash slice of a source holds on average.
 SLICE_ROWS = 4000
 
@@ -68,11 +72,22 @@ def invert(q: Column, slope: Column) -> Column:
     return F.when(slope == 0.0, q).otherwise(F.lit(2.0) * q / F.greatest(b + root, F.lit(1e-12)))
 
 
-def schedule(docs: DataFrame, scratch: Scratch | None = None) -> DataFrame:
-    """Per row of ``docs``: doc_id, size, source_size, target, taken, copies, positions (one per copy)."""
-    scratch = scratch or Scratch(docs.sparkSession, "mix")
-    d = docs.select("doc_id", F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"))
-    d = d.withColumn("h", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")))
+def id_hash(doc_id: Column) -> Column:
+    return F.md5(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary"))
+
+
+def row_key(docs: DataFrame) -> Column:
+    """A digest of all columns: rows that share it are copies of one another."""
+    rest = F.to_json(F.struct(*(docs[c] for c in docs.columns if c != "text")), JSON)
+    text = F.coalesce(F.md5(docs["text"].cast("binary")), F.lit("-"))
+    return F.unhex(F.md5(F.concat(text, F.md5(rest.cast("binary"))).cast("binary")))
+
+
+def _placed(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """The rows of ``schedule`` with their source, ``h`` (id_hash), ``key`` (row_key) and ``start``: the words before
+    a row in its source, which tell rows of one source apart where they have words."""
+    d = docs.select("doc_id", docs["source"].cast("string").alias("source"), word_count(docs["text"]).alias("size"), row_key(docs).alias("key"))
+    d = d.withColumn("h", id_hash(F.col("doc_id")))
     d = scratch.cut(d.withColumn("cell", F.conv(F.substring("h", 1, 8), 16, 10).cast("long")), "sizes")
     per_source = d.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
     plan = targets(per_source.drop("n")).join(per_source.select(F.col("source").alias("n_source"), F.ceil(F.col("n") / SLICE_ROWS).alias("slices")), F.col("source").eqNullSafe(F.col("n_source")))
@@ -82,27 +97,58 @@ def schedule(docs: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     slices = d.groupBy("source", "slice").agg(F.sum("size").alias("slice_size"))
     base = F.coalesce(F.sum("slice_size").over(Window.partitionBy("source").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     slices = slices.select(F.col("source").alias("s_source"), F.col("slice").alias("s_slice"), base.alias("base"))
-    within = Window.partitionBy("source", "slice").orderBy("h", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy("source", "slice").orderBy("h", "doc_id", "size", "key").rowsBetween(Window.unboundedPreceding, -1)
     d = d.withColumn("before", F.coalesce(F.sum("size").over(within), F.lit(0)))
     d = d.join(slices, F.col("source").eqNullSafe(F.col("s_source")) & (F.col("slice") == F.col("s_slice")))
-    first = F.col("base") + F.col("before")
-    middle = [(first + k * F.col("source_size")).cast("double") + F.col("size") / F.lit(2.0) for k in range(MAX_REPEATS)]
+    d = d.withColumn("start", F.col("base") + F.col("before"))
+    middle = [(F.col("start") + k * F.col("source_size")).cast("double") + F.col("size") / F.lit(2.0) for k in range(MAX_REPEATS)]
     taken = [F.when((F.col("size") > 0) & (m <= F.col("target")), 1).otherwise(0) for m in middle]
     slope = F.element_at(F.array(*map(F.lit, SLOPES)), F.col("slot") + 1)
-    positions = F.array(*(F.when(x == 1, F.round(invert(m / F.greatest(F.col("target"), F.lit(1e-12)), slope), 9)) for x, m in zip(taken, middle, strict=True)))
+    positions = F.array(*(F.when(x == 1, invert(m / F.greatest(F.col("target"), F.lit(1e-12)), slope)) for x, m in zip(taken, middle, strict=True)))
     d = d.withColumn("copies", sum(taken[1:], taken[0]).cast("long")).withColumn("positions", F.filter(positions, lambda x: x.isNotNull()))
-    return d.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies", "positions")
+    return d.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies", "positions", "source", "h", "key", "start")
 
 
-def mix(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs``, each as often as it is taken, range-sorted by training position.
+def schedule(docs: DataFrame, scratch: Scratch | None = None) -> DataFrame:
+    """Per row of ``docs``: doc_id, size, source_size, target, taken, copies, positions (one per copy)."""
+    return _placed(docs, scratch or Scratch(docs.sparkSession, "mix")).drop("source", "h", "key", "start")
+
 
-    Rows that share a doc_id are taken as one document's rows: each as often as the most taken of
-    them, at the latest positions of those.
-    """
+def _in_order(docs: DataFrame, placed: DataFrame, scratch: Scratch) -> DataFrame:
+    """The mix, range-sorted by training position, with ``mix_at__`` (that position) and ``mix_start__`` (its row's start)."""
     spark = docs.sparkSession
-    plan = schedule(docs).groupBy(F.col("doc_id").alias("mix_doc_id__")).agg(F.max(F.struct("copies", "positions"))["positions"].alias("mix_at__"))
-    out = docs.join(plan, docs["doc_id"].eqNullSafe(F.col("mix_doc_id__")))
-    out = out.select(*(docs[c] for c in docs.columns), F.explode("mix_at__").alias("mix_at__"))
+    spots = F.transform("positions", lambda p: F.struct(p.alias("at"), F.col("start").alias("start")))
+    plan = placed.where("copies > 0").groupBy(F.col("key").alias("mix_plan_key__")).agg(F.flatten(F.collect_list(spots)).alias("mix_spots__"))
+    # what a source gives is the first of its rows by hash: texts after the last one stay where they are
+    last = scratch.cut(placed.where("copies > 0").groupBy(F.col("source").alias("mix_source__")).agg(F.max("h").alias("mix_last__")), "last")
+    within = docs["source"].cast("string").eqNullSafe(F.col("mix_source__")) & (id_hash(docs["doc_id"]) <= F.col("mix_last__"))
+    # of rows that are copies of one another, one stands for all, at the positions of all
+    keyed = docs.where(docs["text"].rlike(WORD)).join(last, within, "left_semi").withColumn("mix_key__", row_key(docs))
+    keyed = keyed.withColumn("mix_nth__", F.row_number().over(Window.partitionBy("mix_key__").orderBy("mix_key__"))).where("mix_nth__ = 1")
+    out = keyed.join(plan, F.col("mix_key__") == F.col("mix_plan_key__"))
+    out = out.select(*(keyed[c] for c in docs.columns), "mix_key__", F.explode("mix_spots__").alias("mix_spot__"))
+    out = out.withColumn("mix_at__", F.col("mix_spot__.at")).withColumn("mix_start__", F.col("mix_spot__.start")).drop("mix_spot__")
+    order = ("mix_at__", "doc_id", "mix_key__")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return out.repartitionByRange(n, "mix_at__", "doc_id").sortWithinPartitions("mix_at__", "doc_id").drop("mix_at__")
+    return out.repartitionByRange(n, *order).sortWithinPartitions(*order).drop("mix_key__")
+
+
+def mix(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, each as often as it is taken, range-sorted by training position."""
+    scratch = Scratch(docs.sparkSession, "mix")
+    placed = scratch.cut(_placed(docs, scratch), "placed")
+    return _in_order(docs, placed, scratch).drop("mix_at__", "mix_start__")
+
+
+def mix_report(docs: DataFrame) -> DataFrame:
+    """Per row of ``docs``: doc_id, size, source_size, target, and of the mix, written in training
+    order and read back: taken (the words of its copies there) and first_position (null if none)."""
+    scratch = Scratch(docs.sparkSession, "mix")
+    placed = scratch.cut(_placed(docs, scratch), "placed")
+    mixed = scratch.cut(_in_order(docs, placed, scratch), "mix")
+    held = mixed.groupBy(mixed["source"].cast("string").alias("h_source"), F.col("mix_start__").alias("h_start"))
+    held = held.agg(F.sum(word_count(mixed["text"])).alias("words"), F.min("mix_at__").alias("first_position"))
+    held = scratch.cut(held, "held")
+    scratch.drop("mix")
+    same = F.col("source").eqNullSafe(F.col("h_source")) & (F.col("start") == F.col("h_start")) & (F.col("size") > 0)
+    return placed.join(held, same, "left").select("doc_id", "size", "source_size", "target", F.coalesce("words", F.lit(0)).alias("taken"), "first_position")

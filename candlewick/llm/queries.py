@@ -11,7 +11,7 @@ from .chat import format_chats
 from .decontam import find_contamination
 from .html_extract import extract_main_text
 from .langid import identify
-from .mixing import schedule
+from .mixing import mix_report
 from .neardup import near_duplicates
 from .quality import quality_rules
 from .shared import table
@@ -37,9 +37,8 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = schedule(table(spark, sf_dir, "documents"))
-    first = F.round(F.array_min("positions"), 6).alias("first_position")
-    return s.select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken", first)
+    rounded = [F.round(c, 6).alias(c) for c in ("target", "first_position")]
+    return mix_report(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", rounded[0], "taken", rounded[1])
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -86,3 +86,61 @@ def test_order_follows_position(make_docs):
     seen, order = set(), [r.doc_id for r in M.mix(docs).collect()]
     first = [x for x in order if not (x in seen or seen.add(x))]
     assert [at[x] for x in first] == sorted(at[x] for x in first)
+
+
+def test_rows_sharing_an_id_are_mixed_by_themselves(make_docs):
+    from collections import Counter
+
+    rows = [(1, "rare " * 20, "en", "c"), (1, "common " * 400, "en", "a"), (2, "more " * 600, "en", "a"), (1, "rare " * 20, "en", "c"), (None, "none " * 30, "en", "b"), (None, "null " * 50, "en", "a")]
+    docs = make_docs(rows)
+    plan = Counter()
+    for r in M.schedule(docs).collect():
+        plan[r.doc_id, r.size] += r.copies
+    mixed = Counter((r.doc_id, len(r.text.split())) for r in M.mix(docs).collect())
+    assert len({n for (i, _), n in plan.items() if i == 1}) > 1
+    assert mixed == Counter({k: n for k, n in plan.items() if n})
+
+
+def test_report_comes_from_the_mix_in_order(make_docs, odd_docs, monkeypatch):
+    docs = make_docs(odd_docs + rows_of({"d": 900, "e": 300}, 30) + [(3, "one more row of three", "en", "d")])
+    first = lambda r: min(r.positions) if r.positions else None
+    order = lambda rows: sorted(rows, key=repr)
+    want = order((r.doc_id, r.size, r.source_size, r.target, r.taken, first(r)) for r in M.schedule(docs).collect())
+    written = {}
+    cut = M.Scratch.cut
+
+    def spy(self, df, name):
+        written[name] = back = cut(self, df, name)
+        if name == "mix":
+            written["files"] = [[r.mix_at__ for r in self.spark.read.parquet(f).collect()] for f in sorted(back.inputFiles())]
+        return back
+
+    monkeypatch.setattr(M.Scratch, "cut", spy)
+    assert order(tuple(r) for r in M.mix_report(docs).collect()) == want
+    # the files, one after the other, are in training order and hold every copy
+    at = [x for file in written["files"] for x in file]
+    assert at == sorted(at) and len(at) == sum(r.copies for r in M.schedule(docs).collect())
+    assert M.mix_report(make_docs([])).count() == 0
+
+
+def test_query_counts_what_the_mix_holds(spark, sf_dir, monkeypatch):
+    from candlewick.llm.queries import op5_mixing
+
+    whole = op5_mixing(spark, sf_dir).collect()
+    in_order = M._in_order
+    monkeypatch.setattr(M, "_in_order", lambda *given: in_order(*given).where("mix_at__ < 0.5"))
+    half = {r.doc_id: r for r in op5_mixing(spark, sf_dir).collect()}
+    late = [r for r in whole if r.first_position is not None and r.first_position > 0.5]
+    assert late and all(half[r.doc_id].taken == 0 and half[r.doc_id].first_position is None for r in late)
+    assert all(half[r.doc_id].first_position == r.first_position for r in whole if r.first_position is not None and r.first_position < 0.5)
+
+
+def test_positions_are_not_rounded(make_docs):
+    slope = {"a": -0.5, "b": 0.0, "c": 0.5}
+    rows = rows_of({"a": 700, "b": 300, "c": 50}, 6)
+    source = {i: s for i, _, _, s in rows}
+    for r in M.schedule(make_docs(rows)).collect():
+        for x in r.positions:
+            # twice the words before a copy's middle is a whole number
+            y = 2 * r.target * (x + slope[source[r.doc_id]] * (x * x - x))
+            assert y == pytest.approx(round(y), abs=1e-9)
